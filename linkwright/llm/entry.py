@@ -6,11 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .decontaminate import op7_decontamination
+from .lines import op9_line_dedup
 from .minhash import op1_minhash_dedup
+from .mixing import op10_mixing
+from .quality import op3_quality_classifier
+
+_ALL = (op1_minhash_dedup, op3_quality_classifier, op7_decontamination, op9_line_dedup, op10_mixing)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_minhash_dedup": op1_minhash_dedup}
+    return {f.__name__: f for f in _ALL}
 
 
 def oracle_sql() -> dict[str, str]:
