@@ -152,7 +152,7 @@ def minhash_dedup(spark: SparkSession, docs: DataFrame, sketch: Sketch = Sketch(
             yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(4)), int64(sizes), binaries(registers.reshape(-1), np.arange(len(sets) + 1) * sketch.registers), binaries(members, ends)], ["id", "grp", "nb", "blk", "n", "sig", "members"])
 
     def fetch(placed: DataFrame) -> DataFrame:
-        full = placed.join(docs.withColumnRenamed("doc_id", "id"), "id").select("id", "grp", "nb", "blk", "text")
+        full = placed.hint("merge").join(docs.withColumnRenamed("doc_id", "id"), "id").select("id", "grp", "nb", "blk", "text")
         return full.mapInArrow(profile_members, "id long, grp long, nb long, blk long, n long, sig binary, members binary")
 
     num, den = sketch.threshold
