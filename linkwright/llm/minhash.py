@@ -141,23 +141,16 @@ def minhash_dedup(spark: SparkSession, docs: DataFrame, sketch: Sketch = Sketch(
     same = work.save(seen.where("n_shingles > 0 and doc_id is not null").groupBy(*whole).agg(F.min("doc_id").alias("id")), "same")
     firsts = work.save(seen.join(same.withColumnRenamed("id", "doc_id"), [*whole, "doc_id"], "left_semi").select(F.col("doc_id").alias("id"), "keys"), "firsts")
 
-    def profile_members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = _Words()
-        for batch in _chunks(batches):
-            sets = shingle_sets(texts(batch.column(4)), sketch.words, known)
-            registers = sketches(sets, sketch)
-            sizes = np.array([len(s) for s in sets], np.int64)
-            ends = np.concatenate([[0], np.cumsum(sizes)])
-            members = np.concatenate(sets) if sets else np.empty(0, np.uint64)
-            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(4)), int64(sizes), binaries(registers.reshape(-1), np.arange(len(sets) + 1) * sketch.registers), binaries(members, ends)], ["id", "grp", "nb", "blk", "n", "sig", "members"])
-
     def fetch(placed: DataFrame) -> DataFrame:
-        full = placed.hint("merge").join(docs.withColumnRenamed("doc_id", "id"), "id").select("id", "grp", "nb", "blk", "text")
-        return full.mapInArrow(profile_members, "id long, grp long, nb long, blk long, n long, sig binary, members binary")
+        return placed.hint("merge").join(docs.withColumnRenamed("doc_id", "id"), "id").select("id", "grp", "nb", "blk", "text")
+
+    def measure(found: list[bytes]) -> tuple:
+        sets = shingle_sets(found, sketch.words, _Words())
+        return sets, sketches(sets, sketch)
 
     num, den = sketch.threshold
     screen = likely_jaccard(sketch.base, num / den, sketch.lost)
-    near = near_components(spark, work, firsts, sketch.registers // sketch.rows, fetch, screen, np.uint16, sketch.threshold, sketch.block)
+    near = near_components(spark, work, firsts, firsts.count(), sketch.registers // sketch.rows, fetch, measure, screen, sketch.threshold, sketch.block)
     named = work.save(same.join(near, "id", "left").select(*whole, F.coalesce("comp", "id").alias("comp")), "named")
     linked = seen.select("doc_id", *whole).join(named, whole, "left")
     out = linked.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("comp", "doc_id")).alias("component_id"))

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Work, binaries, by_group, int64, mix, partitions
+from .common import Work, binaries, by_group, int64, mix, partitions, texts
 from .components import connected
 
 #: Items whose keys one map task combines before it passes them on, and keys that one reducing task sorts.
@@ -36,14 +36,15 @@ def _least(keys: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
     return keys[starts], least, edges
 
 
-def band_edges(spark: SparkSession, work: Work, items: DataFrame, name: str, bands: int) -> DataFrame:
-    """items: id, keys (binary of `bands` uint64). Edges (a, b) that join all items with an equal key.
+def band_edges(spark: SparkSession, items: DataFrame, total: int, bands: int) -> DataFrame:
+    """items: id, keys (binary of `bands` uint64); total: about how many. Edges (a, b) that join all
+    items with an equal key.
 
     Map tasks combine equal keys first, so a key that a third of all items share reaches its reducer
-    once from each chunk, and packed runs of keys travel rather than a row for each.
+    once from each chunk, and packed runs of 32-bit keys and ids travel rather than a row for each. Two
+    keys of a reducer that agree in 32 bits only make one rough group of two; pairs are confirmed later.
     """
-    total = items.count() * bands
-    buckets = max(partitions(spark), -(-total // REDUCE))
+    buckets = max(partitions(spark), -(-total * bands // REDUCE))
 
     def forward(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def flush(ids: list, keys: list) -> pa.RecordBatch:
@@ -51,18 +52,19 @@ def band_edges(spark: SparkSession, work: Work, items: DataFrame, name: str, ban
             k, least, edges = _least(np.concatenate(keys), i)
             part = (k % np.uint64(buckets)).astype(np.int64)
             order = np.argsort(part, kind="stable")
-            part, packed = part[order], np.stack([k[order].view(np.int64), least[order]], 1)
+            part, least = part[order], least[order]
+            short = (k[order] >> np.uint64(32)).astype(np.uint32)
             starts = np.concatenate([[0], np.nonzero(part[1:] != part[:-1])[0] + 1, [len(part)]])
-            parts = part[starts[:-1]]
-            blob = packed.reshape(-1)
-            starts = starts * 2
-            if len(edges):
-                parts, blob = np.concatenate([parts, [-1]]), np.concatenate([blob, edges.reshape(-1)])
-                starts = np.concatenate([starts, [len(blob)]])
-            return pa.RecordBatch.from_arrays([int64(parts), binaries(blob, starts)], ["part", "packed"])
+            # The chunk's own edges ride along as one more run, to any reducer.
+            ends, parts = np.append(starts, len(part)), np.append(part[starts[:-1]], int(k[0] % np.uint64(buckets)))
+            own = np.zeros(len(ends), np.int64)
+            own[-1] = edges.size
+            return pa.RecordBatch.from_arrays([int64(parts), binaries(short, ends), binaries(least, ends), binaries(edges.reshape(-1), own)], ["part", "keys", "ids", "edges"])
 
         ids, keys, n = [], [], 0
         for b in batches:
+            if not b.num_rows:
+                continue
             ids.append(b.column(0).to_numpy(zero_copy_only=False))
             keys.append(np.frombuffer(b"".join(b.column(1).to_pylist()), np.uint64))
             n += b.num_rows
@@ -73,19 +75,15 @@ def band_edges(spark: SparkSession, work: Work, items: DataFrame, name: str, ban
             yield flush(ids, keys)
 
     def reduce(group: pa.Table) -> Iterator[pa.RecordBatch]:
-        part = group.column("part")[0].as_py()
-        both = np.frombuffer(b"".join(group.column("packed").to_pylist()), np.int64).reshape(-1, 2)
-        edges = both if part < 0 else _least(both[:, 0], both[:, 1])[2]
-        yield pa.RecordBatch.from_arrays([int64(edges[:, 0]), int64(edges[:, 1])], ["a", "b"])
+        keys, ids, edges = (np.frombuffer(b"".join(group.column(c).to_pylist()), kind) for c, kind in (("keys", np.uint32), ("ids", np.int64), ("edges", np.int64)))
+        found = [edges.reshape(-1, 2)]
+        if len(keys):
+            found.append(_least(keys, ids)[2])
+        both = np.concatenate(found)
+        yield pa.RecordBatch.from_arrays([int64(both[:, 0]), int64(both[:, 1])], ["a", "b"])
 
-    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            if b.num_rows:
-                yield from reduce(pa.Table.from_batches([b]))
-
-    sent = work.save(items.select("id", "keys").mapInArrow(forward, "part long, packed binary"), f"{name}-keys")
-    near = sent.where("part < 0").mapInArrow(unpack, "a long, b long")
-    return near.unionByName(by_group(sent.where("part >= 0"), ["part"], reduce, "a long, b long"))
+    sent = items.select("id", "keys").mapInArrow(forward, "part long, keys binary, ids binary, edges binary")
+    return by_group(sent, ["part"], reduce, "a long, b long")
 
 
 class _Forest:
@@ -131,62 +129,66 @@ def links_within(ids, sizes, signatures, sets, apart, screen, threshold: tuple[i
     return out
 
 
-def _items(group: pa.Table, width) -> tuple:
-    ids = group.column("id").to_numpy()
-    sizes = group.column("n").to_numpy()
-    signatures = np.frombuffer(b"".join(group.column("sig").to_pylist()), width).reshape(len(ids), -1)
-    sets = [np.frombuffer(x, np.uint64) for x in group.column("members").to_pylist()]
-    return ids, sizes, signatures, sets
-
-
 def _rows(found: list[tuple[int, int]]) -> Iterator[pa.RecordBatch]:
     if found:
         x = np.array(found, np.int64)
         yield pa.RecordBatch.from_arrays([int64(x[:, 0]), int64(x[:, 1])], ["a", "b"])
 
 
-def near_components(spark: SparkSession, work: Work, items: DataFrame, bands: int, fetch: Callable[[DataFrame], DataFrame], screen, width, threshold: tuple[int, int], block: int = BLOCK) -> DataFrame:
-    """items: id, keys. Returns (id, comp) of the items that link with another; comp is the smallest id.
+def _once(group: pa.Table, *more: str) -> pa.Table:
+    """The group's items without repeated rows."""
+    columns = [group.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("id", *more)]
+    at = np.unique(np.stack(columns), axis=1, return_index=True)[1]
+    return group if len(at) == group.num_rows else group.take(pa.array(np.sort(at)))
 
-    fetch(placed) takes (id, grp, nb, blk) and returns (id, grp, nb, blk, n, sig, members), members
-    being the sorted distinct 64-bit hashes as bytes and n their number. screen(signatures, sizes, i, j)
-    returns which pairs may link and how likely they are. width is the signatures' numpy type.
+
+def near_components(spark: SparkSession, work: Work, items: DataFrame, total: int, bands: int, fetch: Callable[[DataFrame], DataFrame], measure, screen, threshold: tuple[int, int], block: int = BLOCK) -> DataFrame:
+    """items: id, keys; total: about how many. Returns (id, comp) of the items that link with another;
+    comp is the smallest id.
+
+    fetch(placed) takes (id, grp, nb, blk) and returns (id, grp, nb, blk, text); it may name items anew.
+    measure(texts) returns the sets of sorted distinct 64-bit hashes and the signatures.
+    screen(signatures, sizes, i, j) returns which pairs may link and how likely they are.
     """
-    rough = work.save(connected(work, band_edges(spark, work, items, "band", bands), "rough"), "rough")
-    sizes = work.save(rough.groupBy("comp").agg(F.count("*").alias("cnt")).withColumn("nb", F.ceil(F.col("cnt") / block)), "sizes")
-    placed = rough.join(sizes, "comp").select("id", F.col("comp").alias("grp"), "nb", F.pmod(F.xxhash64("id"), "nb").alias("blk"))
+    rough = work.save(connected(work, band_edges(spark, items, total, bands), "rough"), "rough")
+    counts = work.save(rough.groupBy("comp").agg(F.count("*").alias("cnt")).withColumn("nb", F.ceil(F.col("cnt") / block)), "counts")
+    placed = rough.join(counts, "comp").select("id", F.col("comp").alias("grp"), "nb", F.pmod(F.xxhash64("id"), "nb").alias("blk"))
     held = work.save(fetch(work.save(placed, "placed")), "held")
 
+    def items_of(group: pa.Table) -> tuple:
+        sets, signatures = measure(texts(group.column("text")))
+        return group.column("id").to_numpy(), np.array([len(x) for x in sets], np.int64), signatures, sets
+
     def within(group: pa.Table) -> Iterator[pa.RecordBatch]:
+        group = _once(group)
         if group.num_rows < 2:
             return
-        ids, sizes, signatures, sets = _items(group, width)
         pivot = (group.column("blk").to_numpy() == 0) & (group.column("task")[0].as_py() != 0)
-        yield from _rows(links_within(ids, sizes, signatures, sets, lambda i, j: ~(pivot[i] & pivot[j]), screen, threshold))
+        yield from _rows(links_within(*items_of(group), lambda i, j: ~(pivot[i] & pivot[j]), screen, threshold))
 
     tasks = F.when(F.col("blk") == 0, F.sequence(F.lit(0).cast("long"), F.col("nb") - 1)).otherwise(F.array("blk"))
     first = work.save(by_group(held.withColumn("task", F.explode(tasks)), ["grp", "task"], within, "a long, b long"), "links")
     joined = work.save(connected(work, first, "first"), "joined")
 
     # What several blocks leave apart: all but the largest component of a rough group against the whole group.
-    wide = work.save(placed.where("nb > 1").join(joined, "id", "left").select("id", "grp", "nb", F.coalesce("comp", "id").alias("label")), "wide")
-    parts = work.save(wide.groupBy("grp", "nb", "label").agg(F.count("*").alias("c")), "parts")
-    largest = parts.groupBy("grp", "nb").agg(F.max(F.struct("c", F.col("label"))).alias("top"), F.sum("c").alias("all"))
+    wide = work.save(held.where("nb > 1").select("id", "grp").join(joined, "id", "left").select("id", "grp", F.coalesce("comp", "id").alias("label")), "wide")
+    parts = work.save(wide.groupBy("grp", "label").agg(F.count("*").alias("c")), "parts")
+    largest = parts.groupBy("grp").agg(F.max(F.struct("c", F.col("label"))).alias("top"), F.sum("c").alias("all"))
     left = work.save(largest.where("all > top.c").select("grp", F.col("top.label").alias("top"), F.ceil((F.col("all") - F.col("top.c")) / block).alias("nq")), "left")
     if left.isEmpty():
         return joined
-    marked = wide.drop("nb").join(left, "grp").select("id", "label", "nq", (F.col("label") != F.col("top")).alias("asks"))
-    marked = work.save(held.where("nb > 1").join(work.save(marked, "marked"), "id"), "marked-held")
+    marked = work.save(wide.join(left, "grp").select("id", "label", "nq", (F.col("label") != F.col("top")).alias("asks")), "marked")
+    marked = held.where("nb > 1").join(marked, "id")
     base = marked.withColumn("q", F.explode(F.sequence(F.lit(0).cast("long"), F.col("nq") - 1))).withColumn("asks", F.lit(False))
     asking = marked.where("asks").withColumn("q", F.pmod(F.xxhash64("id", F.lit(1)), "nq")).withColumn("blk", F.explode(F.sequence(F.lit(0).cast("long"), F.col("nb") - 1)))
 
     def across(group: pa.Table) -> Iterator[pa.RecordBatch]:
+        group = _once(group, "asks")
         asks = group.column("asks").to_numpy(zero_copy_only=False)
         if asks.all() or not asks.any():
             return
-        ids, sizes, signatures, sets = _items(group, width)
         label = group.column("label").to_numpy()
-        yield from _rows(links_within(ids, sizes, signatures, sets, lambda i, j: (asks[i] != asks[j]) & (label[i] != label[j]), screen, threshold))
+        yield from _rows(links_within(*items_of(group), lambda i, j: (asks[i] != asks[j]) & (label[i] != label[j]), screen, threshold))
 
     rest = by_group(base.unionByName(asking), ["grp", "blk", "q"], across, "a long, b long")
     stars = joined.where("id <> comp").select(F.col("id").alias("a"), F.col("comp").alias("b"))
