@@ -14,8 +14,9 @@ from .lines import op9_line_dedup
 from .minhash import op1_minhash_dedup
 from .mixing import op10_mixing
 from .quality import op3_quality_classifier
+from .suffix import op5_suffix_dedup
 
-_ALL = (op1_minhash_dedup, op2_language_id, op3_quality_classifier, warc.op6_warc, op7_decontamination, op8_nearest_neighbours, op9_line_dedup, op10_mixing)
+_ALL = (op1_minhash_dedup, op2_language_id, op3_quality_classifier, op5_suffix_dedup, warc.op6_warc, op7_decontamination, op8_nearest_neighbours, op9_line_dedup, op10_mixing)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
