@@ -23,21 +23,22 @@ class Mixing:
     buckets: int = 1 << 16
     shrink: float = 5.0
     steps: int = 60
-    tolerance: float = 1e-7
+    tolerance: float = 1e-6
 
 
-def _words(text: Column) -> Column:
-    """The words of a text, with two marks of its make-up: how often words recur and how many signs it holds."""
-    plain = F.coalesce(F.lower(text), F.lit(""))
-    words = F.filter(F.split(plain, "[ \\t\\n\\x0B\\f\\r]+"), lambda w: w != "")
-    return words
+#: Signs that a word's bucket is named by when it ends in one, fixed values: they mark tables and debris.
+SIGNS = ("#", "$", "%", "&", "*", "+", "<", "=", ">", "@", "^", "_", "|", "~")
 
 
-def _marks(text: Column, words: Column) -> Column:
-    plain = F.coalesce(text, F.lit(""))
-    signs = F.length(F.regexp_replace(plain, "[^#$%&*+<=>@^_`|~]", "")) / F.greatest(F.length(plain), F.lit(1))
-    fresh = F.size(F.array_distinct(words)) / F.greatest(F.size(words), F.lit(1))
-    return F.array(F.concat(F.lit("\x01signs "), F.ceil(signs * 20).cast("string")), F.concat(F.lit("\x01fresh "), F.floor(fresh * 5).cast("string")))
+def _exploded(docs: DataFrame, config: Mixing) -> DataFrame:
+    """docs with word and bucket, a row per word; one row with an empty word where there is none."""
+    plain = F.lower(F.coalesce("text", F.lit("")))
+    for space in "\t\n\x0b\x0c\r":
+        plain = F.replace(plain, F.lit(space), F.lit(" "))
+    words = docs.withColumn("word", F.explode(F.split(plain, " "))).drop("text")
+    sign = F.substring("word", -1, 1)
+    named = F.when(sign.isin(*SIGNS), F.concat(F.lit("\x01"), sign)).otherwise(F.col("word"))
+    return words.withColumn("bucket", F.when(F.col("word") != "", F.pmod(F.xxhash64(named), F.lit(config.buckets)).cast("int")))
 
 
 def posteriors(spark: SparkSession, work: Work, docs: DataFrame, labelled: DataFrame, domains: list[str], config: Mixing) -> DataFrame:
@@ -48,16 +49,14 @@ def posteriors(spark: SparkSession, work: Work, docs: DataFrame, labelled: DataF
     """
     k = len(domains)
     docs = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    split = docs.withColumn("words", _words(F.col("text")))
-    split = split.select("row", "doc_id", F.size("words").cast("long").alias("n_tokens"), F.concat("words", _marks(F.col("text"), F.col("words"))).alias("words"))
-    bucket = F.pmod(F.xxhash64("word"), F.lit(config.buckets)).cast("int").alias("bucket")
 
     given = labelled.where(F.col("doc_id").isNotNull() & F.col("domain").isin(domains)).groupBy("doc_id").agg(F.min("domain").alias("domain"))
     given = work.save(given, "given")
     n = given.count()
-    drawn = given.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(1e6 * min(1.0, config.max_train / max(n, 1))))
+    taken = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(1e6 * min(1.0, config.max_train / max(n, 1)))
     priors = {r["domain"]: r["c"] for r in given.groupBy("domain").agg(F.count("*").alias("c")).collect()}
-    counts = split.join(drawn, "doc_id").select("domain", F.explode("words").alias("word")).groupBy(bucket, "domain").agg(F.count("*").alias("c"))
+    train = docs.where(taken).join(given.where(taken).hint("merge"), "doc_id").select("domain", "text")
+    counts = _exploded(train, config).where("bucket is not null").groupBy("bucket", "domain").agg(F.count("*").alias("c"))
     counts = counts.groupBy("bucket").agg(*(F.sum(F.when(F.col("domain") == d, F.col("c")).otherwise(0)).cast("double").alias(f"c{i}") for i, d in enumerate(domains)))
     counts = work.save(counts, "counts")
     totals = counts.agg(*(F.sum(f"c{i}") for i in range(k))).first()
@@ -68,8 +67,8 @@ def posteriors(spark: SparkSession, work: Work, docs: DataFrame, labelled: DataF
     strong = F.greatest(*(F.abs(f"w{i}") for i in range(k)), F.lit(0.0)) > 0.1
     weights = work.save(weights.where(strong), "weights")
 
-    hits = split.select("row", "doc_id", "n_tokens", F.explode("words").alias("word")).select("row", "doc_id", "n_tokens", bucket).join(F.broadcast(weights), "bucket", "left")
-    sums = hits.groupBy("row", "doc_id", "n_tokens").agg(*(F.sum(f"w{i}").alias(f"s{i}") for i in range(k)))
+    hits = _exploded(docs, config).join(F.broadcast(weights), "bucket", "left")
+    sums = hits.groupBy("row", "doc_id").agg(F.count("bucket").alias("n_tokens"), *(F.sum(f"w{i}").alias(f"s{i}") for i in range(k)))
     prior = [float(np.log((priors.get(d, 0) + 1) / (n + k))) for d in domains]
     scores = [F.coalesce(F.col(f"s{i}"), F.lit(0.0)) + F.lit(prior[i]) for i in range(k)]
     top = F.greatest(*scores, F.lit(float("-inf")))
@@ -82,7 +81,8 @@ def fit_rates(spark: SparkSession, members: DataFrame, targets: list[float], con
     """members: n_tokens, p_0 ... (a written table). Adds rate: nonnegative, from 1 by projected gradient
     on sum_k (sum_d rate n p_k - T_k)^2 / M_kk, where T_k is targets[k] of all tokens and M = sum n p p'.
 
-    In the metric of the tokens a step takes eta * sum_k p_k g_k from a document's rate, so a rate
+    In the metric of the tokens a step takes eta * sum_k p_k g_k from a document's rate (eta by the
+    Barzilai-Borwein rule), so a rate
     follows from the few residuals g of all steps: each step is one sum over the table, and only K
     numbers reach the driver.
     """
@@ -95,7 +95,8 @@ def fit_rates(spark: SparkSession, members: DataFrame, targets: list[float], con
     m[np.triu_indices(k)] = [float(x or 0) for x in first[1:]]
     m = m + np.triu(m, 1).T
     scale = np.where(np.diag(m) > 0, 1 / np.maximum(np.diag(m), 1e-300), 0)
-    eta = 1 / max(float(np.linalg.eigvalsh(np.sqrt(scale)[:, None] * m * np.sqrt(scale)[None, :]).max()), 1e-12)
+    root = np.sqrt(scale)
+    safe = 1 / max(float(np.linalg.eigvalsh(root[:, None] * m * root[None, :]).max()), 1e-12)
     goal = np.array(targets) / (sum(targets) or 1) * total
     steps: list[list[float]] = []
 
@@ -105,12 +106,20 @@ def fit_rates(spark: SparkSession, members: DataFrame, targets: list[float], con
         taken = F.array(*(F.array(*(F.lit(float(x)) for x in g)) for g in steps))
         return F.aggregate(taken, F.lit(1.0), lambda r, g: F.greatest(F.lit(0.0), r - sum((p[i] * g[i] for i in range(1, k)), p[0] * g[0])))
 
+    eta, before, least = safe, None, np.inf
     for _ in range(config.steps):
         now = members.agg(*(F.sum(rate() * t * x) for x in p)).first()
         short = np.array([float(x or 0) for x in now]) - goal
         if np.abs(short).max() <= config.tolerance * max(total, 1):
             break
-        steps.append((eta * scale * short).tolist())
+        g, error = scale * short, float((scale * short * short).sum())
+        if before is not None:
+            # The step that the last one's effect suggests, unless the error has grown far beyond the least.
+            moved, change = np.array(steps[-1]), before - g
+            bent = float(moved @ (change / np.where(scale > 0, scale, 1)))
+            eta = float(moved @ (moved / np.where(scale > 0, scale, 1))) / bent if bent > 0 and error < 100 * least else safe
+        before, least = g, min(least, error)
+        steps.append((eta * g).tolist())
     return members.withColumn("rate", F.when(F.col("n_tokens") > 0, rate()).otherwise(1.0))
 
 
