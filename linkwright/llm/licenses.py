@@ -75,7 +75,8 @@ def scan(spark: SparkSession, docs: DataFrame, notices=NOTICES, config: Licenses
     least, most = min((r[3] for r in rows), default=0), max((r[4] for r in rows), default=-1)
     text = F.regexp_replace(F.col("text").cast("string"), "\r\n", "\n")
     units = F.array_distinct(F.concat(F.split(text, "\n"), F.split(text, "\n[ \t]*\n"), F.array(text)))
-    docs = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.explode(units).alias("unit"))
+    docs = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), units.alias("units"))
+    docs = docs.select("row", "doc_id", F.explode("units").alias("unit"))
     plain = F.trim(F.regexp_replace(F.lower("unit"), "[^a-z0-9]+", " "))
     # A unit of so many bigrams, repeats included, has a space less than words; a longer one may hold
     # fewer distinct ones, so only the lower bound is known before they are made.
