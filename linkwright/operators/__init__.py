@@ -1 +1 @@
-"""See the package README for what lives here."""
+"""DataFrame to DataFrame operators of the linkage engine."""

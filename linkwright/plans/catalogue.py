@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from . import blocking
+
+_PARTS = (blocking,)
+
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+    return {k: v for p in _PARTS for k, (v, _) in p.QUERIES.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {k: s for p in _PARTS for k, (_, s) in p.QUERIES.items() if s is not None}
