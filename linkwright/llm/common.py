@@ -86,16 +86,27 @@ def mix(x: np.ndarray) -> np.ndarray:
 # ---------------------------------------------------------------- grouped maps
 
 
-def by_group(df: DataFrame, keys: list[str], function: Callable[[pa.Table], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
-    """function over all rows of each key. Callers bound the groups; one that spans batches is put together."""
+def by_group(df: DataFrame, keys: list[str], function: Callable[..., Iterator[pa.RecordBatch]], schema: str, prepare: Callable[[pa.RecordBatch], tuple] | None = None) -> DataFrame:
+    """function over all rows of each key. Callers bound the groups; one that spans batches is put together.
+
+    prepare makes a tuple of sequences, a value per row, from a whole batch at once, which costs small
+    groups less; function then gets the group's share of them as a second argument, in pieces.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
+        pieces: list[tuple] = []
         current = None
+
+        def close() -> Iterator[pa.RecordBatch]:
+            group = pa.Table.from_batches(held)
+            return function(group) if prepare is None else function(group, pieces)
+
         for batch in batches:
             n = batch.num_rows
             if not n:
                 continue
+            made = prepare(batch) if prepare else ()
             columns = [batch.column(batch.schema.get_field_index(k)).to_numpy(zero_copy_only=False) for k in keys]
             change = np.zeros(n, bool)
             for c in columns:
@@ -104,12 +115,13 @@ def by_group(df: DataFrame, keys: list[str], function: Callable[[pa.Table], Iter
             for lo, hi in zip(starts[:-1], starts[1:], strict=True):
                 key = tuple(c[lo] for c in columns)
                 if held and key != current:
-                    yield from function(pa.Table.from_batches(held))
-                    held = []
+                    yield from close()
+                    held, pieces = [], []
                 current = key
                 held.append(batch.slice(lo, hi - lo))
+                pieces.append(tuple(x[lo:hi] for x in made))
         if held:
-            yield from function(pa.Table.from_batches(held))
+            yield from close()
 
     return df.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, schema)
 

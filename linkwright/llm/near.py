@@ -20,6 +20,8 @@ from .components import connected
 
 #: Items whose keys one map task combines before it passes them on, and keys that one reducing task sorts.
 CHUNK, REDUCE = 1 << 15, 1 << 20
+#: Pairs that are confirmed without a screen.
+FEW = 3
 #: Items of a rough group that one block holds.
 BLOCK = 160
 
@@ -105,17 +107,18 @@ def links_within(ids, sizes, signatures, sets, apart, screen, threshold: tuple[i
     """
     num, den = threshold
     n = len(ids)
-    i, j = np.triu_indices(n, 1)
+    i, j = np.triu_indices(n, 1) if n > 2 else (np.array([0]), np.array([1]))
     small, large = np.minimum(sizes[i], sizes[j]), np.maximum(sizes[i], sizes[j])
     keep = (den * small >= num * large) & apart(i, j) & (ids[i] != ids[j])
     i, j = i[keep], j[keep]
     if not len(i):
         return []
-    likely, order_by = screen(signatures, sizes, i, j)
-    i, j, order_by = i[likely], j[likely], order_by[likely]
-    order = np.argsort(-order_by, kind="stable")
+    if len(i) > FEW:
+        likely, order_by = screen(signatures, sizes, i, j)
+        order = np.argsort(-order_by[likely], kind="stable")
+        i, j = i[likely][order], j[likely][order]
     forest, out = _Forest(n), []
-    for a, b in zip(i[order].tolist(), j[order].tolist(), strict=True):
+    for a, b in zip(i.tolist(), j.tolist(), strict=True):
         ra, rb = forest.find(a), forest.find(b)
         if ra == rb:
             continue
@@ -135,11 +138,9 @@ def _rows(found: list[tuple[int, int]]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([int64(x[:, 0]), int64(x[:, 1])], ["a", "b"])
 
 
-def _once(group: pa.Table, *more: str) -> pa.Table:
-    """The group's items without repeated rows."""
-    columns = [group.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("id", *more)]
-    at = np.unique(np.stack(columns), axis=1, return_index=True)[1]
-    return group if len(at) == group.num_rows else group.take(pa.array(np.sort(at)))
+def _once(ids: np.ndarray, *more: np.ndarray) -> np.ndarray:
+    """Where each item is first, for rows may be repeated."""
+    return np.sort(np.unique(np.stack([ids, *(x.astype(np.int64) for x in more)]), axis=1, return_index=True)[1])
 
 
 def near_components(spark: SparkSession, work: Work, items: DataFrame, total: int, bands: int, fetch: Callable[[DataFrame], DataFrame], measure, screen, threshold: tuple[int, int], block: int = BLOCK) -> DataFrame:
@@ -155,19 +156,30 @@ def near_components(spark: SparkSession, work: Work, items: DataFrame, total: in
     placed = rough.join(counts, "comp").select("id", F.col("comp").alias("grp"), "nb", F.pmod(F.xxhash64("id"), "nb").alias("blk"))
     held = work.save(fetch(work.save(placed, "placed")), "held")
 
-    def items_of(group: pa.Table) -> tuple:
-        sets, signatures = measure(texts(group.column("text")))
-        return group.column("id").to_numpy(), np.array([len(x) for x in sets], np.int64), signatures, sets
-
-    def within(group: pa.Table) -> Iterator[pa.RecordBatch]:
-        group = _once(group)
+    def prepare(batch: pa.RecordBatch) -> tuple:
+        return measure(texts(batch.column(batch.schema.get_field_index("text"))))
+
+    def items_of(group: pa.Table, pieces: list[tuple], *more: str) -> tuple:
+        """The group's rows without repeated ones: (rows' columns, (ids, sizes, signatures, sets))."""
+        sets = [x for p in pieces for x in p[0]]
+        signatures = np.concatenate([p[1] for p in pieces]) if len(pieces) > 1 else pieces[0][1]
+        columns = {c: group.column(c).to_numpy(zero_copy_only=False) for c in ("id", *more)}
+        at = _once(columns["id"], *(columns[c] for c in more[:1]))
+        if len(at) < len(sets):
+            sets, signatures = [sets[k] for k in at], signatures[at]
+            columns = {c: x[at] for c, x in columns.items()}
+        return columns, (columns["id"], np.array([len(x) for x in sets], np.int64), signatures, sets)
+
+    def within(group: pa.Table, pieces: list[tuple]) -> Iterator[pa.RecordBatch]:
         if group.num_rows < 2:
             return
-        pivot = (group.column("blk").to_numpy() == 0) & (group.column("task")[0].as_py() != 0)
-        yield from _rows(links_within(*items_of(group), lambda i, j: ~(pivot[i] & pivot[j]), screen, threshold))
+        columns, items = items_of(group, pieces, "blk")
+        pivot = (columns["blk"] == 0) & (group.column("task")[0].as_py() != 0)
+        if len(pivot) > 1:
+            yield from _rows(links_within(*items, lambda i, j: ~(pivot[i] & pivot[j]), screen, threshold))
 
     tasks = F.when(F.col("blk") == 0, F.sequence(F.lit(0).cast("long"), F.col("nb") - 1)).otherwise(F.array("blk"))
-    first = work.save(by_group(held.withColumn("task", F.explode(tasks)), ["grp", "task"], within, "a long, b long"), "links")
+    first = work.save(by_group(held.withColumn("task", F.explode(tasks)), ["grp", "task"], within, "a long, b long", prepare), "links")
     joined = work.save(connected(work, first, "first"), "joined")
 
     # What several blocks leave apart: all but the largest component of a rough group against the whole group.
@@ -182,15 +194,13 @@ def near_components(spark: SparkSession, work: Work, items: DataFrame, total: in
     base = marked.withColumn("q", F.explode(F.sequence(F.lit(0).cast("long"), F.col("nq") - 1))).withColumn("asks", F.lit(False))
     asking = marked.where("asks").withColumn("q", F.pmod(F.xxhash64("id", F.lit(1)), "nq")).withColumn("blk", F.explode(F.sequence(F.lit(0).cast("long"), F.col("nb") - 1)))
 
-    def across(group: pa.Table) -> Iterator[pa.RecordBatch]:
-        group = _once(group, "asks")
-        asks = group.column("asks").to_numpy(zero_copy_only=False)
-        if asks.all() or not asks.any():
-            return
-        label = group.column("label").to_numpy()
-        yield from _rows(links_within(*items_of(group), lambda i, j: (asks[i] != asks[j]) & (label[i] != label[j]), screen, threshold))
+    def across(group: pa.Table, pieces: list[tuple]) -> Iterator[pa.RecordBatch]:
+        columns, items = items_of(group, pieces, "asks", "label")
+        asks, label = columns["asks"].astype(bool), columns["label"]
+        if asks.any() and not asks.all():
+            yield from _rows(links_within(*items, lambda i, j: (asks[i] != asks[j]) & (label[i] != label[j]), screen, threshold))
 
-    rest = by_group(base.unionByName(asking), ["grp", "blk", "q"], across, "a long, b long")
+    rest = by_group(base.unionByName(asking), ["grp", "blk", "q"], across, "a long, b long", prepare)
     stars = joined.where("id <> comp").select(F.col("id").alias("a"), F.col("comp").alias("b"))
     return work.save(connected(work, work.save(rest, "links-across").unionByName(stars), "second"), "final")
 
