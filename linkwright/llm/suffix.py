@@ -9,7 +9,6 @@ are sorted one bucket at a time, which bounds disk and memory by the bucket, not
 
 from __future__ import annotations
 
-import gc
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -50,11 +49,16 @@ def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers[0][:n], _powers[1][:n]
 
 
-def fingerprints(data: np.ndarray, at: np.ndarray, width: int, step: int = 1 << 19) -> tuple[np.ndarray, np.ndarray]:
-    """Of the strings of this width that start at the ascending places: (64-bit fingerprint, bucket hash).
-    The bucket comes from another hash, of the first 16 bytes, so both together tell strings apart."""
-    keys, buckets = np.empty(len(at), np.uint64), np.empty(len(at), np.uint64)
-    heads = np.ndarray((max(len(data) - 7, 0),), "<u8", data, strides=(1,))
+def heads(data: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """A hash of the first 16 bytes from each place on: it names a suffix's bucket."""
+    words = np.ndarray((max(len(data) - 7, 0),), "<u8", data, strides=(1,))
+    return mix(words[at] * np.uint64(_MULTIPLIER) ^ mix(words[at + 8])) if len(at) else np.empty(0, np.uint64)
+
+
+def fingerprints(data: np.ndarray, at: np.ndarray, width: int, step: int = 1 << 19) -> np.ndarray:
+    """64-bit fingerprints of the strings of this width from the ascending places on. With the bucket,
+    which comes from another hash, they tell strings apart."""
+    keys = np.empty(len(at), np.uint64)
     for lo in range(0, len(data), step):
         a, b = np.searchsorted(at, [lo, lo + step])
         if a == b:
@@ -65,8 +69,7 @@ def fingerprints(data: np.ndarray, at: np.ndarray, width: int, step: int = 1 <<
         np.cumsum(_LETTERS[part] * up, out=total[1:])
         here = at[a:b] - lo
         keys[a:b] = mix((total[here + width] - total[here]) * down[here])
-        buckets[a:b] = mix(heads[at[a:b]] * np.uint64(_MULTIPLIER) ^ mix(heads[at[a:b] + 8]))
-    return keys, buckets
+    return keys
 
 
 def pack(docs: DataFrame, config: Suffixes) -> DataFrame:
@@ -102,27 +105,29 @@ def _open(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.frombuffer(row["doc_ids"], np.int64), np.frombuffer(row["sizes"], np.int64), np.frombuffer(row["data"], np.uint8)
 
 
-def _places(sizes: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(place in the chunk, index of its document, place in the document) of every string of this width."""
-    counts = np.maximum(sizes - width + 1, 0)
-    local = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
-    return local + np.repeat(np.cumsum(sizes) - sizes, counts), np.repeat(np.arange(len(sizes)), counts), local
+def _owners(at: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Of ascending places the index of the document that holds each."""
+    cut = np.searchsorted(at, ends)
+    return np.repeat(np.arange(len(ends)), np.diff(np.concatenate([[0], cut])))
 
 
 def cover_places(row: dict, config: Suffixes) -> tuple[np.ndarray, np.ndarray]:
-    """(place, document) of the cover's sample strings."""
-    at, owner, local = _places(_open(row)[1], config.width - config.period + 1)
-    sampled = np.zeros(config.period, bool)
-    sampled[list(COVERS[config.period])] = True
-    ok = sampled[local % config.period]
+    """(place, document) of the cover's sample strings. Places are counted in the chunk: a cover meets
+    whatever the two offsets are."""
+    _, sizes, data = _open(row)
+    ends, width = np.cumsum(sizes), config.width - config.period + 1
+    at = (np.arange(0, len(data), config.period)[:, None] + np.array(COVERS[config.period])[None, :]).reshape(-1)
+    at = at[: np.searchsorted(at, len(data))]
+    owner = _owners(at, ends)
+    ok = at + width <= ends[owner]
     return at[ok], owner[ok]
 
 
 def window_places(row: dict, config: Suffixes) -> tuple[np.ndarray, np.ndarray]:
     """(place, document) of the windows that the cover's ranks leave to be sorted."""
-    at, owner, _ = _places(_open(row)[1], config.width)
-    ok = np.unpackbits(np.frombuffer(row["open"], np.uint8), count=len(at)).astype(bool)
-    return at[ok], owner[ok]
+    _, sizes, data = _open(row)
+    at = np.nonzero(np.unpackbits(np.frombuffer(row["open"] or b"", np.uint8))[: len(data)])[0]
+    return at, _owners(at, np.cumsum(sizes))
 
 
 def _sort(spark: SparkSession, work: Work, packs: DataFrame, name: str, choose, width: int, total: int, smaller: bool, config: Suffixes) -> DataFrame:
@@ -140,11 +145,12 @@ def _sort(spark: SparkSession, work: Work, packs: DataFrame, name: str, choose,
                 for row in batch.to_pylist():
                     at, owner = choose(row, config)
                     ids, _, data = _open(row)
-                    keys, bucket = fingerprints(data, at, width)
+                    bucket = heads(data, at)
                     mine = bucket % np.uint64(config.rounds) == r
-                    keys, bucket, at, doc = keys[mine], bucket[mine], at[mine], ids[owner[mine]]
+                    bucket, at, doc = bucket[mine], at[mine], ids[owner[mine]]
                     if not len(at):
                         continue
+                    keys = fingerprints(data, at, width)
                     order = np.argsort(keys)
                     by_key = doc[order]
                     new = np.concatenate([[True], keys[order][1:] != keys[order][:-1]])
@@ -201,12 +207,12 @@ def _sort(spark: SparkSession, work: Work, packs: DataFrame, name: str, choose,
         answer = work.save(by_group(sent, ["part"], sort, "chunk long, places binary"), f"{name}-{r}")
         found = answer if found is None else found.unionByName(answer)
         del sent
-        gc.collect()
-        spark._jvm.System.gc()  # a round's shuffle files go before the next one writes its own
+        work.tidy()  # a round's shuffle files go before the next one writes its own
     return found
 
 
 def _answered(packs: DataFrame, answers: DataFrame) -> DataFrame:
+    """packs with their answers; only the answers move, for packs are bucketed by chunk."""
     by_chunk = answers.groupBy("chunk").agg(F.collect_list("places").alias("answers"))
     return packs.join(by_chunk.hint("merge"), "chunk", "left")
 
@@ -230,24 +236,28 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, config: Suffixes = Suf
     """
     work = Work(spark, "suffix")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    packs = work.save(pack(docs.where("doc_id is not null"), config), "packs")
-    size = packs.agg(F.sum(F.length("data"))).first()[0] or 0
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    n = max(partitions(spark), -(-int(size) // (8 * config.chunk)))
+    packs = work.bucket(pack(docs.where("doc_id is not null"), config), "packs", "chunk", n)
+    work.tidy()
     density = len(COVERS[config.period]) / config.period
     ranks = _sort(spark, work, packs, "cover", cover_places, config.width - config.period + 1, int(size * density), False, config)
 
     def leave(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                total = np.concatenate([[0], np.cumsum(_marks(row))])
-                at = _places(_open(row)[1], config.width)[0]
-                left = total[np.minimum(at + config.period, len(total) - 1)] > total[at]
-                cells = [int64([row["chunk"]]), *(pa.array([x], pa.binary()) for x in (row["doc_ids"], row["sizes"], row["data"], np.packbits(left).tobytes())), int64([left.sum()])]
-                yield pa.RecordBatch.from_arrays(cells, ["chunk", "doc_ids", "sizes", "data", "open", "left"])
-
-    open_ = work.save(_answered(packs, ranks).mapInArrow(leave, f"{PACK}, open binary, left long"), "open")
-    work.drop("packs")
+                ends, marks = np.cumsum(_open(row)[1]), _marks(row)
+                total = np.zeros(len(marks) + 1, np.int32)
+                np.cumsum(marks, out=total[1:])
+                left = total[np.minimum(np.arange(len(marks)) + config.period, len(marks))] > total[:-1]
+                for start, end in zip(np.concatenate([[0], ends[:-1]]).tolist(), ends.tolist(), strict=True):
+                    left[max(start, end - config.width + 1) : end] = False
+                yield pa.RecordBatch.from_arrays([int64([row["chunk"]]), pa.array([np.packbits(left).tobytes()], pa.binary()), int64([left.sum()])], ["chunk", "open", "left"])
+
+    open_ = work.bucket(_answered(packs, ranks).mapInArrow(leave, "chunk long, open binary, left long"), "open", "chunk", n)
+    work.tidy()
     left = open_.agg(F.sum("left")).first()[0] or 0
-    ties = _sort(spark, work, open_, "window", window_places, config.width, int(left), True, config)
+    ties = _sort(spark, work, packs.join(open_.select("chunk", "open").hint("merge"), "chunk"), "window", window_places, config.width, int(left), True, config)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -267,7 +277,7 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, config: Suffixes = Suf
                         out[k].append(v)
                 yield pa.RecordBatch.from_arrays([int64(out["doc_id"]), int64(out["n_bytes"]), pa.array(out["starts"], pa.list_(pa.int64())), pa.array(out["ends"], pa.list_(pa.int64())), pa.array(out["kept"], pa.binary())], list(out))
 
-    done = _answered(open_.select("chunk", "doc_ids", "sizes", "data"), ties).mapInArrow(cut, "doc_id long, n_bytes long, starts array<long>, ends array<long>, kept binary")
+    done = _answered(packs, ties).mapInArrow(cut, "doc_id long, n_bytes long, starts array<long>, ends array<long>, kept binary")
     none = F.array().cast("array<long>")
     alone = docs.where("doc_id is null").select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), none.alias("starts"), none.alias("ends"), F.col("text").cast("binary").alias("kept"))
     return done.unionByName(alone)
