@@ -1 +1,8 @@
 """linkwright: record linkage and corpus preparation on Spark DataFrames."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Executors need no copy of the package: its functions travel with the tasks.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -10,6 +10,7 @@ from dataclasses import dataclass
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from . import fixed
 
@@ -48,7 +49,7 @@ def spell(text: str) -> str:
     return "".join(out)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _spell(texts: pd.Series) -> pd.Series:
     return texts.map(spell, na_action="ignore")
 

@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import blocking
+from . import blocking, pairs
 
-_PARTS = (blocking,)
+_PARTS = (blocking, pairs)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
