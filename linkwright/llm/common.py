@@ -20,6 +20,9 @@ cloudpickle.register_pickle_by_value(_package)
 #: Bytes and rows of one Arrow batch sent to a Python worker; bounds its memory whatever the texts' length.
 BATCH_BYTES, BATCH_ROWS = 8 << 20, 4096
 
+#: Bytes of text that are worked on at once.
+PIECE = 1 << 20
+
 _local_root: list[str] = []
 
 
@@ -90,6 +93,19 @@ def texts(column: pa.Array) -> list[bytes]:
     return [x if x is not None else b"" for x in column.cast(pa.binary()).to_pylist()]
 
 
+def pieces(found: list[bytes], size: int = PIECE) -> Iterator[tuple[int, list[bytes]]]:
+    """Runs of the texts of about this many bytes, each with the place of its first: what is made of a
+    run at once stays small however long the texts of a batch are."""
+    at = total = 0
+    for i, x in enumerate(found):
+        total += len(x)
+        if total >= size:
+            yield at, found[at : i + 1]
+            at, total = i + 1, 0
+    if at < len(found):
+        yield at, found[at:]
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser: a bijection that spreads every bit."""
     x = x ^ (x >> np.uint64(30))

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Work, int64, table, texts
+from .common import Work, int64, pieces, table, texts
 
 #: A model predicts a character from the three before it: four 16-bit codes make one 64-bit hash.
 ORDER = 4
@@ -87,17 +87,6 @@ def grams(y: np.ndarray) -> np.ndarray:
     return z[:-3] << np.uint64(48) | z[1:-2] << np.uint64(32) | z[2:-1] << np.uint64(16) | z[3:]
 
 
-def _pieces(found: list[bytes], step: int) -> Iterator[tuple[int, list[bytes]]]:
-    at = size = 0
-    for i, x in enumerate(found):
-        size += len(x)
-        if size >= step:
-            yield at, found[at : i + 1]
-            at, size = i + 1, 0
-    if at < len(found):
-        yield at, found[at:]
-
-
 def _count(config: Language):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, list] = {}
@@ -111,7 +100,7 @@ def _count(config: Language):
             langs, found = batch.column(1).to_pylist(), texts(batch.column(0))
             for lang in dict.fromkeys(langs):
                 own = [t for t, x in zip(found, langs, strict=True) if x == lang]
-                for _, piece in _pieces(own, config.step):
+                for _, piece in pieces(own, config.step):
                     y, owner, _ = symbols(piece)
                     parts = held.setdefault(lang, [])
                     parts.append(np.unique(grams(y)[owner[3:] >= 0], return_counts=True))
@@ -176,7 +165,7 @@ class Models:
     def score(self, found: list[bytes], step: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(sums of log probabilities by language, predicted characters, has a letter) of each text."""
         sums, n, has = np.zeros((len(found), len(self.names))), np.zeros(len(found), np.int64), np.zeros(len(found), bool)
-        for at, piece in _pieces(found, step):
+        for at, piece in pieces(found, step):
             y, owner, letter = symbols(piece)
             has[at : at + len(piece)] = letter
             g, owner = grams(y), owner[3:]

@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Work, binaries, int64, mix, table, texts
+from .common import Work, binaries, int64, mix, pieces, table, texts
 from .near import BLOCK, hashed_bands, likely_jaccard, near_components
 
 _LOWER = bytes(x + 32 if 65 <= x <= 90 else x for x in range(256))
@@ -107,12 +107,6 @@ def sketches(sets: list[np.ndarray], sketch: Sketch) -> np.ndarray:
     return out
 
 
-def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for at in range(0, batch.num_rows, 512):
-            yield batch.slice(at, 512)
-
-
 def minhash_dedup(spark: SparkSession, docs: DataFrame, sketch: Sketch = Sketch()) -> DataFrame:
     """docs: doc_id (long), text. One row per input row: doc_id, n_shingles, component_id, kept.
 
@@ -129,8 +123,7 @@ def minhash_dedup(spark: SparkSession, docs: DataFrame, sketch: Sketch = Sketch(
 
     def profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = _Words()
-        for batch in _chunks(batches):
-            sets = shingle_sets(texts(batch.column(1)), sketch.words, known)
+        for batch, sets in ((b.slice(at, len(part)), shingle_sets(part, sketch.words, known)) for b in batches for at, part in pieces(texts(b.column(1)))):
             prints = np.frombuffer(b"".join(xxhash.xxh3_128_digest(s.tobytes()) for s in sets), np.int64).reshape(-1, 2)
             keys = hashed_bands(sketches(sets, sketch), sketch.rows)
             ends = np.arange(len(sets) + 1) * keys.shape[1]

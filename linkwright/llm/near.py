@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Work, binaries, by_group, int64, mix, partitions, texts
+from .common import Work, binaries, by_group, int64, mix, partitions, pieces, texts
 from .components import connected
 
 #: Items whose keys one map task combines before it passes them on, and keys that one reducing task sorts.
@@ -157,12 +157,13 @@ def near_components(spark: SparkSession, work: Work, items: DataFrame, total: in
     held = work.save(fetch(work.save(placed, "placed")), "held")
 
     def prepare(batch: pa.RecordBatch) -> tuple:
-        return measure(texts(batch.column(batch.schema.get_field_index("text"))))
+        made = [measure(part) for _, part in pieces(texts(batch.column(batch.schema.get_field_index("text"))))]
+        return [x for sets, _ in made for x in sets], np.concatenate([signatures for _, signatures in made])
 
-    def items_of(group: pa.Table, pieces: list[tuple], *more: str) -> tuple:
+    def items_of(group: pa.Table, parts: list[tuple], *more: str) -> tuple:
         """The group's rows without repeated ones: (rows' columns, (ids, sizes, signatures, sets))."""
-        sets = [x for p in pieces for x in p[0]]
-        signatures = np.concatenate([p[1] for p in pieces]) if len(pieces) > 1 else pieces[0][1]
+        sets = [x for p in parts for x in p[0]]
+        signatures = np.concatenate([p[1] for p in parts]) if len(parts) > 1 else parts[0][1]
         columns = {c: group.column(c).to_numpy(zero_copy_only=False) for c in ("id", *more)}
         at = _once(columns["id"], *(columns[c] for c in more[:1]))
         if len(at) < len(sets):
@@ -170,10 +171,10 @@ def near_components(spark: SparkSession, work: Work, items: DataFrame, total: in
             columns = {c: x[at] for c, x in columns.items()}
         return columns, (columns["id"], np.array([len(x) for x in sets], np.int64), signatures, sets)
 
-    def within(group: pa.Table, pieces: list[tuple]) -> Iterator[pa.RecordBatch]:
+    def within(group: pa.Table, parts: list[tuple]) -> Iterator[pa.RecordBatch]:
         if group.num_rows < 2:
             return
-        columns, items = items_of(group, pieces, "blk")
+        columns, items = items_of(group, parts, "blk")
         pivot = (columns["blk"] == 0) & (group.column("task")[0].as_py() != 0)
         if len(pivot) > 1:
             yield from _rows(links_within(*items, lambda i, j: ~(pivot[i] & pivot[j]), screen, threshold))
@@ -194,8 +195,8 @@ def near_components(spark: SparkSession, work: Work, items: DataFrame, total: in
     base = marked.withColumn("q", F.explode(F.sequence(F.lit(0).cast("long"), F.col("nq") - 1))).withColumn("asks", F.lit(False))
     asking = marked.where("asks").withColumn("q", F.pmod(F.xxhash64("id", F.lit(1)), "nq")).withColumn("blk", F.explode(F.sequence(F.lit(0).cast("long"), F.col("nb") - 1)))
 
-    def across(group: pa.Table, pieces: list[tuple]) -> Iterator[pa.RecordBatch]:
-        columns, items = items_of(group, pieces, "asks", "label")
+    def across(group: pa.Table, parts: list[tuple]) -> Iterator[pa.RecordBatch]:
+        columns, items = items_of(group, parts, "asks", "label")
         asks, label = columns["asks"].astype(bool), columns["label"]
         if asks.any() and not asks.all():
             yield from _rows(links_within(*items, lambda i, j: (asks[i] != asks[j]) & (label[i] != label[j]), screen, threshold))
