@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import blocking, pairs
+from . import blocking, evaluation, pairs
 
-_PARTS = (blocking, pairs)
+_PARTS = (blocking, pairs, evaluation)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -1 +1 @@
-"""See the package README for what lives here."""
+"""Readers and writers: tab-separated sources, id lists, normalized stores, reports."""
