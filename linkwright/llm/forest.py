@@ -23,8 +23,8 @@ class Forest:
     and queries that meet it at once. seed: of the hyperplanes."""
 
     k: int = 20
-    trees: int = 48
-    share: float = 0.42
+    trees: int = 96
+    share: float = 0.55
     block: int = 2048
     seed: int = 20
 

@@ -48,7 +48,7 @@ def _table() -> np.ndarray:
 
 def symbols(found: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(codes, text of each predicted code or -1, has a letter): the texts in one run, three spaces
-    before each, other runs of spaces made one; predicted are a text's codes and the space after it."""
+    before each, runs of spaces within a text made one; predicted are a text's codes and a space after it."""
     codes = _table()
     gap = b" " * (ORDER - 1)
     data = np.frombuffer(gap + gap.join(found) + gap, np.uint8)

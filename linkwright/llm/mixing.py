@@ -79,25 +79,18 @@ def posteriors(spark: SparkSession, work: Work, docs: DataFrame, labelled: DataF
 
 def fit_rates(spark: SparkSession, members: DataFrame, targets: list[float], config: Mixing) -> DataFrame:
     """members: n_tokens, p_0 ... (a written table). Adds rate: nonnegative, from 1 by projected gradient
-    on sum_k (sum_d rate n p_k - T_k)^2 / M_kk, where T_k is targets[k] of all tokens and M = sum n p p'.
+    on the squared distances of the domains' expected token totals from targets[k] of all tokens.
 
-    In the metric of the tokens a step takes eta * sum_k p_k g_k from a document's rate (eta by the
-    Barzilai-Borwein rule), so a rate
-    follows from the few residuals g of all steps: each step is one sum over the table, and only K
-    numbers reach the driver.
+    In the metric of the tokens a step takes sum_k p_k g_k from a document's rate and stops at 0, so a
+    rate follows from the few vectors g of all steps: each step is one sum over the table, and only K
+    totals and the K x K curvature reach the driver. g is the residual scaled by the curvature over the
+    documents whose rate is not at 0; where that did not bring the error down, by the diagonal of the
+    whole curvature over its largest scaled eigenvalue, which always does.
     """
     k = len(targets)
     p = [F.col(f"p_{i}") for i in range(k)]
     t = F.col("n_tokens").cast("double")
-    first = members.agg(F.sum(t), *(F.sum(t * p[i] * p[j]) for i in range(k) for j in range(i, k))).first()
-    total = float(first[0] or 0)
-    m = np.zeros((k, k))
-    m[np.triu_indices(k)] = [float(x or 0) for x in first[1:]]
-    m = m + np.triu(m, 1).T
-    scale = np.where(np.diag(m) > 0, 1 / np.maximum(np.diag(m), 1e-300), 0)
-    root = np.sqrt(scale)
-    safe = 1 / max(float(np.linalg.eigvalsh(root[:, None] * m * root[None, :]).max()), 1e-12)
-    goal = np.array(targets) / (sum(targets) or 1) * total
+    upper = [(i, j) for i in range(k) for j in range(i, k)]
     steps: list[list[float]] = []
 
     def rate() -> Column:
@@ -106,20 +99,30 @@ def fit_rates(spark: SparkSession, members: DataFrame, targets: list[float], con
         taken = F.array(*(F.array(*(F.lit(float(x)) for x in g)) for g in steps))
         return F.aggregate(taken, F.lit(1.0), lambda r, g: F.greatest(F.lit(0.0), r - sum((p[i] * g[i] for i in range(1, k)), p[0] * g[0])))
 
-    eta, before, least = safe, None, np.inf
+    def sums() -> tuple[float, np.ndarray, np.ndarray]:
+        d = members.select("n_tokens", *p, rate().alias("r"))
+        free = F.when(F.col("r") > 0, t).otherwise(0.0)
+        row = [float(x or 0) for x in d.agg(F.sum(t), *(F.sum(F.col("r") * t * x) for x in p), *(F.sum(free * p[i] * p[j]) for i, j in upper)).first()]
+        m = np.zeros((k, k))
+        for (i, j), x in zip(upper, row[1 + k :], strict=True):
+            m[i, j] = m[j, i] = x
+        return row[0], np.array(row[1 : 1 + k]), m
+
+    total, now, m = sums()
+    goal = np.array(targets) / (sum(targets) or 1) * total
+    scale = np.where(np.diag(m) > 0, 1 / np.maximum(np.diag(m), 1e-300), 0)
+    root = np.sqrt(scale)
+    safe = scale / max(float(np.linalg.eigvalsh(root[:, None] * m * root[None, :]).max()), 1e-12)
+    least = np.inf
     for _ in range(config.steps):
-        now = members.agg(*(F.sum(rate() * t * x) for x in p)).first()
-        short = np.array([float(x or 0) for x in now]) - goal
+        short = now - goal
         if np.abs(short).max() <= config.tolerance * max(total, 1):
             break
-        g, error = scale * short, float((scale * short * short).sum())
-        if before is not None:
-            # The step that the last one's effect suggests, unless the error has grown far beyond the least.
-            moved, change = np.array(steps[-1]), before - g
-            bent = float(moved @ (change / np.where(scale > 0, scale, 1)))
-            eta = float(moved @ (moved / np.where(scale > 0, scale, 1))) / bent if bent > 0 and error < 100 * least else safe
-        before, least = g, min(least, error)
-        steps.append((eta * g).tolist())
+        error = float((scale * short * short).sum())
+        bent = root[:, None] * m * root[None, :]
+        steps.append((safe * short if error > 0.9 * least else root * (np.linalg.pinv(bent, rcond=1e-6) @ (root * short))).tolist())
+        least = min(least, error)
+        _, now, m = sums()
     return members.withColumn("rate", F.when(F.col("n_tokens") > 0, rate()).otherwise(1.0))
 
 
