@@ -23,8 +23,8 @@ class Forest:
     and queries that meet it at once. seed: of the hyperplanes."""
 
     k: int = 20
-    trees: int = 96
-    share: float = 0.55
+    trees: int = 24
+    share: float = 0.6
     block: int = 2048
     seed: int = 20
 
@@ -55,29 +55,38 @@ class Block:
         self.order = np.argsort(strings, axis=1, kind="stable")
         self.strings = np.take_along_axis(strings, self.order, 1)
 
+    def _ranges(self, sought: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where the strings that share a prefix of this length with each sought one are, by tree."""
+        rest = np.where(length > 0, (np.uint64(1) << (np.uint64(BITS) - np.maximum(length, 1).astype(np.uint64))) - np.uint64(1), np.uint64(0xFFFFFFFFFFFFFFFF))
+        low = np.stack([np.searchsorted(t, s & ~rest, "left") for t, s in zip(self.strings, sought, strict=True)])
+        high = np.stack([np.searchsorted(t, s | rest, "right") for t, s in zip(self.strings, sought, strict=True)])
+        return low, high
+
     def candidates(self, queries: np.ndarray) -> Iterator[np.ndarray]:
-        """Of each query the rows of its candidates: descend every tree to the longest matching prefix,
-        then climb all trees together, bit by bit, until enough rows share a prefix with it."""
-        n, trees = len(self.ids), len(self.strings)
+        """Of each query the rows of its candidates. It descends every tree to its longest matching prefix
+        and climbs all trees together until enough rows share a prefix with it. Counts only grow on the
+        way up, so the climb is bisected first by how many entries match and then goes on bit by bit
+        while too few of them are distinct rows."""
+        n = len(self.ids)
         wanted = max(min(n, 2 * self.config.k), int(np.ceil(self.config.share * n)))
         sought = codes(np.column_stack([queries, np.zeros(len(queries))]), self.normals)
-        low, high = np.zeros((trees, len(queries)), np.int64), np.full((trees, len(queries)), n)
-        open_, total = np.arange(len(queries)), np.zeros(len(queries), np.int64)
-        for length in range(BITS, -1, -1):
-            rest = np.uint64((1 << (BITS - length)) - 1)
-            for t in range(trees):
-                low[t, open_] = np.searchsorted(self.strings[t], sought[t, open_] & ~rest, "left")
-                high[t, open_] = np.searchsorted(self.strings[t], sought[t, open_] | rest, "right")
-            total = (high[:, open_] - low[:, open_]).sum(0)
-            distinct = np.zeros(len(open_), np.int64)
-            for i in np.nonzero(total >= wanted)[0]:
-                q = open_[i]
-                distinct[i] = len(np.unique(np.concatenate([self.order[t, low[t, q] : high[t, q]] for t in range(trees)])))
-            open_ = open_[distinct < wanted]
-            if not len(open_):
-                break
-        for q in range(len(queries)):
-            yield np.unique(np.concatenate([self.order[t, low[t, q] : high[t, q]] for t in range(trees)]))
+        least, most = np.zeros(len(queries), np.int64), np.full(len(queries), BITS, np.int64)
+        while (least < most).any():
+            length = (least + most + 1) // 2
+            low, high = self._ranges(sought, length)
+            enough = (high - low).sum(0) >= wanted
+            least, most = np.where(enough, length, least), np.where(enough, most, length - 1)
+        open_, found = np.arange(len(queries)), [np.empty(0, np.int64)] * len(queries)
+        while len(open_):
+            low, high = self._ranges(sought[:, open_], least[open_])
+            for k, q in enumerate(open_):
+                seen = np.zeros(n, bool)
+                for t, order in enumerate(self.order):
+                    seen[order[low[t, k] : high[t, k]]] = True
+                found[q] = np.nonzero(seen)[0]
+            open_ = open_[[len(found[q]) < wanted and least[q] > 0 for q in open_]]
+            least[open_] -= 1
+        yield from found
 
     def nearest(self, query_ids: np.ndarray, queries: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         for own, q, rows in zip(query_ids, queries, self.candidates(queries), strict=True):

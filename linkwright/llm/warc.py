@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gzip
 import hashlib
 import io
 import struct
@@ -18,18 +19,20 @@ from pyspark.sql import functions as F
 from .common import Work, int64, table
 
 #: Names of an archive's stored members.
-RECORDS, INDEX = "archive/records.warc", "indexes/records.idx"
+RECORDS, INDEX = "archive/records.warc.gz", "indexes/records.idx"
 _PROFILE = b"http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
 @dataclass(frozen=True)
 class Warc:
     """least: bytes from which equal payloads become revisits. archive: bytes of records after which an
-    archive is closed. date: of the records, which the pages do not have. zip64: write ZIP64 fields
-    whatever the size."""
+    archive is closed. level: of the compression of each record, which is a gzip member of its own, so
+    the stored member can still be read by range. date: of the records, which the pages do not have.
+    zip64: write ZIP64 fields whatever the size."""
 
     least: int = 1000
     archive: int = 16 << 20
+    level: int = 6
     date: str = "2024-01-01T00:00:00Z"
     zip64: bool = False
 
@@ -179,7 +182,7 @@ def write_archives(pages: DataFrame, folder: str, config: Warc) -> DataFrame:
         held, size = [], 0
         for batch in batches:
             for row in batch.to_pylist():
-                held.append(record(row["page_id"], row["url"], (row["html"] or "").encode(), row["refers_to"], config.date))
+                held.append(gzip.compress(record(row["page_id"], row["url"], (row["html"] or "").encode(), row["refers_to"], config.date), config.level, mtime=0))
                 size += len(held[-1])
                 if size >= config.archive:
                     yield close(held)
@@ -212,8 +215,8 @@ def read_archives(archives: DataFrame) -> DataFrame:
                         raise ValueError(f"the index of {path} does not fit its records")
                     rows, size = [], 0
                     for length in lengths:
-                        rows.append(parse_record(f.read_at(length, at)))
-                        at, size = at + length, size + length
+                        rows.append(parse_record(gzip.decompress(f.read_at(length, at))))
+                        at, size = at + length, size + rows[-1]["payload_bytes"]
                         if size >= 4 << 20:
                             yield pa.RecordBatch.from_pylist(rows, schema=schema)
                             rows, size = [], 0
