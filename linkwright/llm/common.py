@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import tempfile
+import time
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -43,9 +44,9 @@ def partitions(spark: SparkSession) -> int:
 class Work:
     """A folder of its own below spark.checkpoint.dir, for tables that cut the lineage and survive lost executors."""
 
-    def __init__(self, spark: SparkSession, name: str):
+    def __init__(self, spark: SparkSession, name: str, codec: str = "snappy"):
         prepare(spark)
-        self.spark, self.path = spark, f"{self._root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+        self.spark, self.path, self.codec = spark, f"{self._root(spark)}/{name}-{uuid.uuid4().hex[:12]}", codec
 
     @staticmethod
     def _root(spark: SparkSession) -> str:
@@ -59,7 +60,7 @@ class Work:
 
     def save(self, df: DataFrame, name: str) -> DataFrame:
         """Write df and read it back: later readers start from files."""
-        df.write.mode("overwrite").parquet(f"{self.path}/{name}")
+        df.write.mode("overwrite").option("compression", self.codec).parquet(f"{self.path}/{name}")
         return self.spark.read.schema(df.schema).parquet(f"{self.path}/{name}")
 
     def bucket(self, df: DataFrame, name: str, key: str, n: int) -> DataFrame:
@@ -68,15 +69,18 @@ class Work:
         The catalog forgets the table at once; what is returned reads its files with their buckets.
         """
         known = f"{name}_{uuid.uuid4().hex}".replace("-", "_")
-        df.repartition(n, key).write.bucketBy(n, key).sortBy(key).option("path", f"{self.path}/{name}").saveAsTable(known)
+        df.repartition(n, key).write.bucketBy(n, key).sortBy(key).option("compression", self.codec).option("path", f"{self.path}/{name}").saveAsTable(known)
         out = self.spark.table(known)
         self.spark.sql(f"DROP TABLE {known}")
         return out
 
     def tidy(self) -> None:
-        """Let go of the shuffle files of plans that nothing refers to any more."""
-        gc.collect()
-        self.spark._jvm.System.gc()
+        """Let go of the shuffle files of plans that nothing refers to any more; Spark does so some
+        moments after the driver has collected them, hence the short waits."""
+        for _ in range(2):
+            gc.collect()
+            self.spark._jvm.System.gc()
+            time.sleep(0.3)
 
     def drop(self, name: str) -> None:
         path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")

@@ -32,7 +32,7 @@ class Suffixes:
 
     width: int = 50
     period: int = 21
-    rounds: int = 6
+    rounds: int = 5
     chunk: int = 2 << 20
     run: int = 1 << 20
 
@@ -132,7 +132,7 @@ def window_places(row: dict, config: Suffixes) -> tuple[np.ndarray, np.ndarray]:
 
 def _sort(spark: SparkSession, work: Work, packs: DataFrame, name: str, choose, width: int, total: int, smaller: bool, config: Suffixes) -> DataFrame:
     """(chunk, places) of the chosen strings that tie with one of another document, or, if `smaller`, of
-    a document with a smaller id; places are packed int32 offsets in the chunk.
+    a document with a smaller id; places are ascending offsets in the chunk, packed as int32 differences.
 
     Ties between a chunk's own documents are settled there, and a string is sent on for one of its
     documents only: one that a third of all documents hold reaches its task once from each chunk.
@@ -167,7 +167,7 @@ def _sort(spark: SparkSession, work: Work, packs: DataFrame, name: str, choose,
                     settled = at[known].astype(np.int32)
                     keys, at, doc = keys[goes], at[goes], doc[goes]
                     part = ((bucket[goes] >> np.uint64(20)) % np.uint64(buckets)).astype(np.int64)
-                    order = np.argsort(part, kind="stable")
+                    order = np.argsort(part.astype(np.int16) if buckets < 1 << 15 else part, kind="stable")
                     keys, at, doc, part = keys[order], at[order].astype(np.int32), doc[order], part[order]
                     cut = np.concatenate([[0], np.nonzero(part[1:] != part[:-1])[0] + 1, [len(part)]])
                     parts = part[cut[:-1]]
@@ -198,7 +198,7 @@ def _sort(spark: SparkSession, work: Work, packs: DataFrame, name: str, choose,
             places = np.concatenate([np.frombuffer(x["places"], np.int32)[t], np.frombuffer(x["known"], np.int32)])
             if len(places):
                 chunks.append(x["chunk"])
-                out.append(places.tobytes())
+                out.append(np.diff(np.sort(places), prepend=np.int32(0)).tobytes())
         yield pa.RecordBatch.from_arrays([int64(chunks), pa.array(out, pa.binary())], ["chunk", "places"])
 
     found = None
@@ -220,7 +220,7 @@ def _answered(packs: DataFrame, answers: DataFrame) -> DataFrame:
 def _marks(row: dict) -> np.ndarray:
     out = np.zeros(len(row["data"]), bool)
     for places in row["answers"] or ():
-        out[np.frombuffer(places, np.int32)] = True
+        out[np.cumsum(np.frombuffer(places, np.int32))] = True
     return out
 
 
@@ -234,7 +234,7 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, config: Suffixes = Suf
     no smaller than each other, each has its own result. Texts below `width` bytes stay. Empty input
     gives no rows. Other columns are ignored.
     """
-    work = Work(spark, "suffix")
+    work = Work(spark, "suffix", "zstd")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = max(partitions(spark), -(-int(size) // (8 * config.chunk)))
