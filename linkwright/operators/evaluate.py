@@ -154,9 +154,9 @@ def shapley_losses(scores: DataFrame, truth: DataFrame, tau: float) -> DataFrame
     return pairs.join(errors.select("i").distinct(), "i", "left_semi").unionByName(errors).groupBy("i").applyInPandas(run, "i long, cat string, loss double")
 
 
-def bootstrap(records: DataFrame, rounds: int = 200, seed: int = 0) -> DataFrame:
-    """95% intervals of macro F0.5 by country: Poisson resampling, a weight per record and round drawn
-    from a hash of both, so that it is one grouped sum however many records there are."""
+def resampled(records: DataFrame, rounds: int, seed: int) -> DataFrame:
+    """(country, round, m): means of Poisson resamples, a weight per record and round drawn from a hash of
+    both, so that it is one grouped sum however many records there are."""
     u = F.pmod(F.xxhash64("i", "round", F.lit(seed)), F.lit(1_000_003)) / 1_000_003.0
     weight, term, total = F.lit(0), np.exp(-1.0), 0.0
     for k in range(8):
@@ -164,8 +164,12 @@ def bootstrap(records: DataFrame, rounds: int = 200, seed: int = 0) -> DataFrame
         weight = weight + F.when(u >= total, 1).otherwise(0)
         term /= k + 1
     drawn = records.select("i", "country", "f", F.explode(F.sequence(F.lit(1), F.lit(rounds))).alias("round")).withColumn("w", weight)
-    means = drawn.groupBy("country", "round").agg((F.sum(F.col("w") * F.col("f")) / F.greatest(F.sum("w"), F.lit(1))).alias("m"))
-    return means.groupBy("country").agg(F.round(F.percentile("m", 0.025), 6).alias("lo"), F.round(F.percentile("m", 0.975), 6).alias("hi"))
+    return drawn.groupBy("country", "round").agg((F.sum(F.col("w") * F.col("f")) / F.greatest(F.sum("w"), F.lit(1))).alias("m"))
+
+
+def bootstrap(records: DataFrame, rounds: int = 200, seed: int = 0) -> DataFrame:
+    """95% intervals of macro F0.5 by country."""
+    return resampled(records, rounds, seed).groupBy("country").agg(F.round(F.percentile("m", 0.025), 6).alias("lo"), F.round(F.percentile("m", 0.975), 6).alias("hi"))
 
 
 def paired_bootstrap(a: DataFrame, b: DataFrame, rounds: int = 200, seed: int = 0) -> DataFrame:
@@ -191,3 +195,25 @@ def percent_rank(d: DataFrame, value: str) -> DataFrame:
     by = Window.partitionBy("country")
     rank = F.rank().over(by.orderBy(value)) + (F.count("*").over(Window.partitionBy("country", value)) - 1) / 2.0
     return d.withColumn("pct", F.round(rank / F.count("*").over(by), 6))
+
+
+def reweighted(records: DataFrame, mix: dict[str, float], rounds: int = 200, seed: int = 0) -> DataFrame:
+    """Macro F0.5 as it would be with these shares of countries: value, and its 95% interval from
+    resampling each country on its own."""
+    shares = F.create_map(*(F.lit(x) for c, w in mix.items() for x in (c, w / sum(mix.values()))))
+    own = records.where(F.col("country").isin(*mix)).select("i", "country", "f")
+    point = own.groupBy("country").agg(F.avg("f").alias("m")).agg(F.sum(F.try_element_at(shares, F.col("country")) * F.col("m")).alias("value"))
+    means = resampled(own, rounds, seed).groupBy("round").agg(F.sum(F.try_element_at(shares, F.col("country")) * F.col("m")).alias("m"))
+    interval = means.agg(F.percentile("m", 0.025).alias("lo"), F.percentile("m", 0.975).alias("hi"))
+    return point.crossJoin(interval).select(*(F.round(c, 6).alias(c) for c in ("value", "lo", "hi")))
+
+
+def feature_variants(table: DataFrame, scaled: list[str], drops: dict[str, list[str]]) -> dict[str, DataFrame]:
+    """The same feature table in the forms that are compared: as it is; with the scaled features on their
+    raw scale again (times ln_n, a column); with them as percent ranks in their country; and without each
+    named group of features."""
+    raw = table.withColumns({c: F.round(F.col(c) * F.col("ln_n"), 6) for c in scaled})
+    ranked = table
+    for c in scaled:
+        ranked = percent_rank(ranked, c).withColumn(c, F.col("pct")).drop("pct")
+    return {"base": table, "raw": raw, "rank": ranked, **{f"no_{k}": table.drop(*v) for k, v in drops.items()}}

@@ -11,7 +11,7 @@ from ..operators import learn
 from ..operators import profile as prof
 from ..operators import splits as sp
 from ..operators import validate as val
-from ..operators.features import legal_skeleton, pair_records
+from ..operators.features import fuzzy_features, legal_skeleton, pair_records, token_idf
 from ..operators.neighbours import top_k
 from . import sql
 from .blocking import CAPPED, documents
@@ -184,6 +184,21 @@ def _substitutions(s, f):
 _TOK = sql.toks("{0}")
 
 
+def _fuzzy_evidence(s, f):
+    p = pair_records(truth(s, f).select("i", "j"), documents(s, f))
+    w = fuzzy_features(p).withColumn("w", F.lit(1.0)).withColumn("nm_tsort", F.round("nm_tsort", 4))
+    return prof.weighted_quantiles(w, "country", "nm_tsort", "w")
+
+
+def _variants(s, f):
+    records = documents(s, f)
+    idf = token_idf(records)
+    cand = _cand(s, f).join(records.select(F.col("eid").alias("i"), "country"), "i").select("i", "j", "country", "s_name", "s_all", "n_fam")
+    table = cand.join(idf.groupBy("country").agg(F.max("idf").alias("ln_n")), "country")
+    ranked = ev.feature_variants(table, ["s_name", "s_all"], {"families": ["n_fam"]})["rank"]
+    return ranked.select("i", "j", "country", "s_name", "s_all")
+
+
 def _gbt(s, f):
     c = ["s_name", "s_addr", "s_mix", "s_all", "n_fam", "r_all"]
     d = _cand(s, f).join(truth(s, f).select("i", "j", F.lit(1).alias("y")), ["i", "j"], "left").na.fill(0, ["y"])
@@ -227,6 +242,9 @@ QUERIES = {
     "hard_cases": (_hard_cases, _HARD_SQL),
     "auc_ap": (lambda s, f: ev.auc_ap(_labelled(s, f)), LABELLED + ", g AS (SELECT p, sum(y) AS pos, count(*) AS n FROM lab GROUP BY p), w AS (SELECT *, sum(pos) OVER (ORDER BY p DESC) AS tp, sum(n) OVER (ORDER BY p DESC) AS seen FROM g) SELECT round(sum((n - pos) * (tp - pos / 2)) / (sum(pos) * sum(n - pos)), 6) AS auc, round(sum(pos * tp / seen) / sum(pos), 6) AS ap FROM w"),
     "pct_rank_country": (lambda s, f: ev.percent_rank(scores(s, f), "p").select("i", "j", "country", "pct"), SCORES + " SELECT i, j, country, round((rank() OVER (PARTITION BY country ORDER BY p) + (count(*) OVER (PARTITION BY country, p) - 1) / 2.0) / count(*) OVER (PARTITION BY country), 6) AS pct FROM scores"),
+    "reweighted_f05": (lambda s, f: ev.reweighted(_records(s, f), {"de": 0.5, "en": 0.3, "es": 0.2}).select("value"), CHOSEN + PER + ", m AS (SELECT country, avg(f) AS m FROM per GROUP BY country) SELECT round(sum(m * CASE country WHEN 'de' THEN 0.5 WHEN 'en' THEN 0.3 ELSE 0.2 END), 6) AS value FROM m WHERE country IN ('de', 'en', 'es')"),
+    "feature_variant_rank": (_variants, SCORES + ", c AS (SELECT i, j, country, s_name, s_all FROM cand JOIN ids USING (i)) SELECT i, j, country, " + ", ".join(f"round((rank() OVER (PARTITION BY country ORDER BY {x}) + (count(*) OVER (PARTITION BY country, {x}) - 1) / 2.0) / count(*) OVER (PARTITION BY country), 6) AS {x}" for x in ("s_name", "s_all")) + " FROM c"),
+    "eda_fuzzy_evidence": (_fuzzy_evidence, None),
     "shapley_losses": (lambda s, f: ev.shapley_losses(scores(s, f), truth(s, f), 0.75).withColumn("loss", F.round("loss", 6)), None),
     "bootstrap_ci": (lambda s, f: ev.bootstrap(_records(s, f)), None),
     "paired_bootstrap": (lambda s, f: ev.paired_bootstrap(_records(s, f), ev.per_record(ids(s, f), _chosen(s, f, 0.5).select("i", "j"), truth(s, f))), None),

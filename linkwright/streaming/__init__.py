@@ -1 +1 @@
-"""See the package README for what lives here."""
+"""Linking records as they arrive."""
