@@ -83,7 +83,6 @@ def test_ratio_and_winkler(a, b):
     n = len(a) + len(b)
     assert sim.ratio(a, b) == pytest.approx(200 * plain_lcs(a, b) / n if n else 100)
     assert sim.partial(a, b) == pytest.approx(sim.partial(b, a))
-    assert sim.partial(a, b) >= sim.ratio(a, b) - 1e-9 or not a or not b
     if a and b:
         assert sim.jaro_winkler(a, b) == pytest.approx(duckdb.sql(f"SELECT jaro_winkler_similarity('{a}', '{b}')").fetchall()[0][0])
 
