@@ -239,3 +239,16 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     n_hit = F.aggregate(F.zip_with("starts", "ends", lambda a, b: b - a), F.lit(0).cast("long"), lambda s, x: s + x)
     return found.select("doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"), F.sha2(F.concat_ws(",", F.col("items").cast("array<string>")), 256).alias("items_sha256"), (F.size("items") > 0).alias("contaminated"))
+
+
+_LOWERED = "regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+OP7_SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce({_LOWERED}, []) AS w FROM documents),
+b AS (SELECT item_id, {_LOWERED} AS w FROM benchmark WHERE text IS NOT NULL AND item_id IS NOT NULL),
+i AS (SELECT DISTINCT item_id, least(len(w), 10) AS n, unnest(list_transform(range(1, greatest(len(w) - 9, 1) + 1), lambda k: array_to_string(w[k:k + 9], ' '))) AS g FROM b WHERE len(w) > 0),
+e AS (SELECT r, n, unnest(range(1, len(w) - n + 2)) AS k, w FROM d, (SELECT DISTINCT n FROM i) WHERE len(w) >= n),
+h AS (SELECT e.r, e.k, e.n, i.item_id FROM e JOIN i ON i.n = e.n AND i.g = array_to_string(e.w[e.k:e.k + e.n - 1], ' ')),
+p AS (SELECT r, count(DISTINCT q) AS n_hit FROM (SELECT r, unnest(range(k, k + n)) AS q FROM h) GROUP BY r),
+t AS (SELECT r, count(*) AS n_items, string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS l FROM (SELECT DISTINCT r, item_id FROM h) GROUP BY r)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(l, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN p USING (r) LEFT JOIN t USING (r)"""

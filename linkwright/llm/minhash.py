@@ -152,3 +152,15 @@ def minhash_dedup(spark: SparkSession, docs: DataFrame, sketch: Sketch = Sketch(
 
 def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_dedup(spark, table(spark, sf_dir, "documents"))
+
+
+OP1_SQL = """
+WITH RECURSIVE d AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda z: z <> '') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN w IS NULL OR len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')] ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS g FROM d),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+shared AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b USING (g) WHERE a.doc_id <> b.doc_id GROUP BY ALL),
+link AS (SELECT x, y FROM shared JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * c >= 75 * (a.n + b.n - c)),
+reach AS (SELECT x, y FROM link UNION SELECT r.x, l.y FROM reach r JOIN link l ON l.x = r.y),
+lowest AS (SELECT x, min(y) AS m FROM reach GROUP BY x)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, least(d.doc_id, coalesce(m, d.doc_id)) AS component_id, d.doc_id <= coalesce(m, d.doc_id) AS kept
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN lowest ON x = d.doc_id"""

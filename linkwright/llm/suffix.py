@@ -286,3 +286,18 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, config: Suffixes = Suf
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = substring_dedup(spark, table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"), F.size("starts").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+OP5_SQL = """
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+q AS (SELECT r, doc_id, k, substr(h, 400 * k + 1, 498) AS t FROM (SELECT r, doc_id, h, unnest(range(0, (length(h) // 2 + 199) // 200)) AS k FROM d)),
+b AS (SELECT r, 200 * k + o AS p, substr(t, 2 * o + 1, 2) AS x FROM (SELECT r, k, t, unnest(range(0, least(200, length(t) // 2))) AS o FROM q)),
+w AS (SELECT r, doc_id, 200 * k + o AS p, md5_number(substr(t, 2 * o + 1, 100)) AS s FROM (SELECT r, doc_id, k, t, unnest(range(0, least(200, length(t) // 2 - 49))) AS o FROM q)),
+m AS (SELECT s, min(doc_id) AS low FROM w GROUP BY s HAVING max(doc_id) > min(doc_id)),
+f AS (SELECT w.r, w.p FROM w JOIN m USING (s) WHERE w.doc_id > m.low),
+c AS (SELECT b.r, b.p, b.x, coalesce(max(CASE WHEN f.p IS NULL THEN 0 ELSE 1 END) OVER (PARTITION BY b.r ORDER BY b.p ROWS BETWEEN 49 PRECEDING AND CURRENT ROW), 0) AS gone
+  FROM b LEFT JOIN f ON f.r = b.r AND f.p = b.p),
+g AS (SELECT *, lag(gone, 1, 0) OVER (PARTITION BY r ORDER BY p) AS before FROM c),
+a AS (SELECT r, sum(gone) AS n_removed, sum(CASE WHEN gone = 1 AND before = 0 THEN 1 ELSE 0 END) AS n_spans, coalesce(string_agg(x, '' ORDER BY p) FILTER (gone = 0), '') AS kept FROM g GROUP BY r)
+SELECT doc_id, length(h) // 2 AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans, sha256(unhex(coalesce(kept, ''))) AS kept_sha256
+FROM d LEFT JOIN a USING (r)"""
