@@ -134,9 +134,11 @@ def family_hits(keys: DataFrame, records: DataFrame, config: Blocking = Blocking
     return hits.withColumn("r", rank).where(F.col("r") <= config.top)
 
 
-def candidates(records: DataFrame, config: Blocking = Blocking()) -> DataFrame:
-    """Candidate pairs of each source 1 record: i, j, s_name, s_addr, s_mix, n_fam, s_all and three ranks."""
-    hits = family_hits(record_keys(records, config), records, config).withColumn("g", _group())
+def candidates(records: DataFrame, config: Blocking = Blocking(), keys: DataFrame | None = None) -> DataFrame:
+    """Candidate pairs of each source 1 record: i, j, s_name, s_addr, s_mix, n_fam, s_all and three ranks.
+    keys: record_keys of the records where they are already written."""
+    keys = record_keys(records, config) if keys is None else keys
+    hits = family_hits(keys, records, config).withColumn("g", _group())
     scores = hits.groupBy("i", "j").agg(*(F.round(F.coalesce(F.sum(F.when(F.col("g") == g, F.col("w"))), F.lit(0.0)), 6).alias(f"s_{g}") for g in ("name", "addr", "mix")), F.count("*").alias("n_fam"))
     scores = scores.withColumn("s_all", F.round(F.col("s_name") + F.col("s_addr") + F.col("s_mix"), 6))
     ranked = scores.withColumns({f"r_{g}": det_rank(f"s_{g}", F.lit(0)) for g in ("all", "name", "addr")})

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ..functions.text import decode_id, encode_id
 from ..operators import decide, evaluate, learn, splits, validate
 from ..operators import features as feat
-from ..operators.blocking import Blocking, candidates
+from ..operators.blocking import Blocking, candidates, record_keys
 from ..operators.normalize import normalize
 from ..sources import files
 
@@ -39,11 +39,16 @@ class Run:
 
 def records(spark: SparkSession, run: Run, split: str) -> DataFrame:
     path = f"{run.out}/{split}/records-{run.rules}"
-    return files.stage(spark, path, lambda: normalize(files.read_split(spark, run.root, split), run.rules, run.any_script).repartition("country"))
+    return files.stage(spark, path, lambda: normalize(files.read_split(spark, run.root, split), run.rules, run.any_script))
+
+
+def keys(spark: SparkSession, run: Run, split: str) -> DataFrame:
+    """The records' keys, which blocking reads three times: asked with, counted, and as postings."""
+    return files.stage(spark, f"{run.out}/{split}/keys", lambda: record_keys(records(spark, run, split), run.blocking))
 
 
 def blocked(spark: SparkSession, run: Run, split: str) -> DataFrame:
-    return files.stage(spark, f"{run.out}/{split}/candidates", lambda: candidates(records(spark, run, split), run.blocking))
+    return files.stage(spark, f"{run.out}/{split}/candidates", lambda: candidates(records(spark, run, split), run.blocking, keys(spark, run, split)))
 
 
 def truth(spark: SparkSession, run: Run, split: str) -> DataFrame:
