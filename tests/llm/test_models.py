@@ -151,7 +151,9 @@ def test_mixing_meets_targets(spark):
     assert all(r.rate >= 0 for r in rows) and all(abs(sum(r[f"p_{d}"] for d in mixing.TARGETS) - 1) < 1e-9 for r in rows)
     truth = {r.doc_id: r.domain for r in mixing.label_domains(table(spark, SF, "labels")).collect()}
     known = [r for r in rows if r.doc_id in truth]
-    assert sum(max(mixing.TARGETS, key=lambda d: r[f"p_{d}"]) == truth[r.doc_id] for r in known) > 0.8 * len(known)
+    for domain, share in (("junk", 0.8), ("toxic", 0.8), ("clean", 0.5)):  # 400 labels: clean texts are told least surely
+        own = [r for r in known if truth[r.doc_id] == domain]
+        assert sum(max(mixing.TARGETS, key=lambda d: r[f"p_{d}"]) == domain for r in own) >= share * len(own)
 
 
 def test_rates_against_a_plain_descent(spark):
