@@ -8,6 +8,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,7 +22,8 @@ _codes: list[np.ndarray] = []
 
 @dataclass(frozen=True)
 class Language:
-    """grams: the most frequent 4-grams of all languages that are kept, which bounds the models. sample:
+    """grams: the most frequent 4-grams whose log probabilities are kept ready; the others' are worked out
+    from the models, which have every counted gram, whenever a text has them. sample:
     documents, drawn by a hash of their id among those learned from, that scores and rejection are
     calibrated on at most (in expectation). strict: deviations above a language's usual cross-entropy
     from which a prediction is not accepted."""
@@ -151,15 +153,14 @@ class KneserNey:
 
 @dataclass
 class Models:
-    """All languages, with the log probabilities of every 4-gram that any of them has in one sorted array."""
+    """All languages, with their log probabilities of the sorted `hashes`, the 4-grams that texts have most."""
 
     names: list[str]
     each: list[KneserNey]
-    hashes: np.ndarray = field(init=False)
+    hashes: np.ndarray
     log_p: np.ndarray = field(init=False)
 
     def __post_init__(self):
-        self.hashes = np.unique(np.concatenate([m.levels[0][0] for m in self.each]))
         self.log_p = np.stack([m.log_p(self.hashes) for m in self.each], 1).astype(np.float32)
 
     def score(self, found: list[bytes], step: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -184,6 +185,20 @@ class Models:
         return sums, n, has
 
 
+def _models(held: pa.Table, names: list[str], ready: int) -> Models:
+    """held: lang, gram, n. All of it goes into the models; the `ready` most frequent grams are kept ready."""
+    which = pc.index_in(held.column("lang"), pa.array(names)).to_numpy()
+    order = np.argsort(which, kind="stable")
+    cut = np.cumsum(np.bincount(which, minlength=len(names)))[:-1]
+    g, n = (held.column(c).to_numpy()[order] for c in ("gram", "n"))
+    g = g.view(np.uint64)
+    each = [KneserNey(a, b) for a, b in zip(np.split(g, cut), np.split(n, cut), strict=True)]
+    hashes, where = np.unique(g, return_inverse=True)
+    if len(hashes) > ready:
+        hashes = np.sort(hashes[np.argsort(-np.bincount(where, n), kind="stable")[:ready]])
+    return Models(names, each, hashes)
+
+
 def _scored(models, config: Language):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -198,7 +213,7 @@ def identify(spark: SparkSession, docs: DataFrame, learn: Column, config: Langua
     """docs: doc_id (long), text, lang; learn: of which rows text and lang may be used. One row per
     document: doc_id, lang_pred, score, entropy (nats per character), accepted.
 
-    4-gram counts are summed over all rows to learn from; lang_pred is the language of the lowest
+    4-gram counts are summed over all rows to learn from, and all of them are kept; lang_pred is the language of the lowest
     cross-entropy per character, score its calibrated probability; accepted is false where the
     cross-entropy is far above what the language usually has, or nothing is predicted.
     Nulls: a null text, or one without a letter, is `und` with score 0; rows of null lang are not
@@ -210,13 +225,12 @@ def identify(spark: SparkSession, docs: DataFrame, learn: Column, config: Langua
     known = plain.where("learn and lang is not null and text is not null")
     counts = known.select("text", "lang").mapInArrow(_count(config), "lang string, gram long, n long")
     counts = work.save(counts.groupBy("lang", "gram").agg(F.sum("n").alias("n")), "counts")
-    top = counts.orderBy(F.desc("n"), "lang", "gram").limit(config.grams).toPandas()
+    held = counts.toArrow()
     none = [F.lit("und").alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(None).cast("double").alias("entropy"), F.lit(False).alias("accepted")]
-    if not len(top):
+    if not held.num_rows:
         return plain.select("doc_id", *none)
-    by = {lang: part for lang, part in top.groupby("lang", sort=True)}
-    names = sorted(by)
-    models = spark.sparkContext.broadcast(Models(names, [KneserNey(by[x]["gram"].to_numpy().view(np.uint64), by[x]["n"].to_numpy()) for x in names]))
+    names = sorted(held.column("lang").unique().to_pylist())
+    models = spark.sparkContext.broadcast(_models(held, names, config.grams))
     schema = "doc_id long, lang string, n long, letters boolean, entropy array<double>"
     share = min(1.0, config.sample / max(known.count(), 1))
     drawn = known.where(F.pmod(F.xxhash64("doc_id", F.lit(2)), F.lit(1_000_000)) < int(1e6 * share) + 1)

@@ -94,6 +94,13 @@ def test_symbols_pad_and_squeeze():
     assert has.tolist() == [True, False, True]
 
 
+def test_language_rare_beside_frequent(spark):
+    rows = [(i, "das ist ein satz und noch ein satz " * 20, "de", "s") for i in range(20)] + [(20, "to jest krótkie zdanie po polsku", "pl", "s")]
+    few, all_ = ({r.doc_id: r for r in language.identify(spark, docs(spark, rows), F.lit(True), language.Language(grams=g)).collect()} for g in (10, 400_000))
+    assert few[20].lang_pred == "pl" and few[0].lang_pred == "de"
+    assert all(few[i].entropy == pytest.approx(all_[i].entropy) and few[i].score == pytest.approx(all_[i].score) for i in all_)
+
+
 # ---------------------------------------------------------------- quality
 
 
