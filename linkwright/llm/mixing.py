@@ -64,8 +64,7 @@ def posteriors(spark: SparkSession, work: Work, docs: DataFrame, labelled: DataF
     everything = sum(totals) or 1.0
     here = sum((F.col(f"c{i}") for i in range(k)), F.lit(0.0))
     weights = counts.select("bucket", *(F.log((F.col(f"c{i}") + config.shrink) / (here * (totals[i] / everything) + config.shrink)).alias(f"w{i}") for i in range(k)))
-    strong = F.greatest(*(F.abs(f"w{i}") for i in range(k)), F.lit(0.0)) > 0.1
-    weights = work.save(weights.where(strong), "weights")
+    weights = work.save(weights, "weights")
 
     hits = _exploded(docs, config).join(F.broadcast(weights), "bucket", "left")
     sums = hits.groupBy("row", "doc_id").agg(F.count("bucket").alias("n_tokens"), *(F.sum(f"w{i}").alias(f"s{i}") for i in range(k)))

@@ -163,6 +163,15 @@ def test_mixing_meets_targets(spark):
         assert sum(max(mixing.TARGETS, key=lambda d: r[f"p_{d}"]) == domain for r in own) >= share * len(own)
 
 
+def test_mixing_adds_up_weak_words(spark):
+    """Each word's weight is below 0.05, but all point the same way."""
+    up, down = [f"up{x}" for x in "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMN"], [f"down{x}" for x in range(40)]
+    rows = [(1, " ".join(up * 105 + down * 95), "", ""), (2, " ".join(up * 95 + down * 105), "", ""), (3, " ".join(up), "", ""), (4, " ".join(down), "", "")]
+    labelled = spark.createDataFrame([(1, "a"), (2, "b")], "doc_id long, domain string")
+    got = {r.doc_id: r for r in mixing.mix(spark, docs(spark, rows), labelled, {"a": 0.5, "b": 0.5}).collect()}
+    assert got[3].p_a > 0.9 and got[4].p_b > 0.9
+
+
 def test_rates_against_a_plain_descent(spark):
     r = random.Random(3)
     rows = []
