@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import table
@@ -40,9 +40,13 @@ class Licenses:
     threshold: tuple[int, int] = (8, 10)
 
 
+def _words(text: str) -> list[str]:
+    return re.sub("[^a-z0-9]+", " ", text.lower()).split()
+
+
 def bigrams(text: str) -> list[str]:
     """The distinct word bigrams of a notice, normalised as the scan does; of one word that word."""
-    words = re.sub("[^a-z0-9]+", " ", text.lower()).split()
+    words = _words(text)
     return list(dict.fromkeys(f"{a} {b}" for a, b in zip(words, words[1:]))) or words
 
 
@@ -60,36 +64,58 @@ def _notice_rows(notices, config: Licenses) -> list[tuple]:
 
 def scan(spark: SparkSession, docs: DataFrame, notices=NOTICES, config: Licenses = Licenses()) -> DataFrame:
     """docs: doc_id (long), text. One row per document and licence found: doc_id, license, dice (of its
-    best unit), n_units (units that match a notice of it).
+    best unit, or window if no unit matches), n_units (units that match a notice of it, 0 if only
+    windows do).
 
     A unit is a line, a paragraph (lines between blank ones) or the whole text, each counted once if
     equal. Units and notices are lower-cased, runs of other than a-z and 0-9 made one space, and compared
     by sets of word bigrams (a single word stands for itself). A notice is a candidate only for units
-    whose number of bigrams its size allows. The notices' bigrams are a parameter's size, so they are
-    broadcast. Nulls: a null or empty text matches nothing; a null doc_id is kept as it is. Repeated
-    rows each give their own. No documents or notices give no rows. Other columns are ignored.
+    whose number of bigrams its size allows. A notice inside a larger unit, be it wrapped, unwrapped or
+    in a comment, is found by windows of as many words as it has over the words of the whole text; a
+    window's bigrams that are not the notice's count each time. The notices' bigrams are a parameter's
+    size, so they are broadcast. Nulls: a null or empty text matches nothing; a null doc_id is kept as it
+    is. Repeated rows each give their own. No documents or notices give no rows. Other columns are ignored.
     """
     num, den = config.threshold
-    rows = _notice_rows(notices, config)
-    index = spark.createDataFrame(rows, "notice int, license string, size long, least long, most long, bigram string")
+    rows = [(*r, max(len(_words(notices[r[0]][1])) - 1, 1)) for r in _notice_rows(notices, config)]
+    index = spark.createDataFrame(rows, "notice int, license string, size long, least long, most long, bigram string, length long")
     least, most = min((r[3] for r in rows), default=0), max((r[4] for r in rows), default=-1)
     text = F.regexp_replace(F.col("text").cast("string"), "\r\n", "\n")
     units = F.array_distinct(F.concat(F.split(text, "\n"), F.split(text, "\n[ \t]*\n"), F.array(text)))
+    units = F.concat(F.transform(units, lambda u: F.struct(u.alias("text"), F.lit(False).alias("wide"))), F.array(F.struct(text.alias("text"), F.lit(True).alias("wide"))))
     docs = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), units.alias("units"))
     docs = docs.select("row", "doc_id", F.explode("units").alias("unit"))
-    plain = F.trim(F.regexp_replace(F.lower("unit"), "[^a-z0-9]+", " "))
+    plain = F.trim(F.regexp_replace(F.lower("unit.text"), "[^a-z0-9]+", " "))
     # A unit of so many bigrams, repeats included, has a space less than words; a longer one may hold
     # fewer distinct ones, so only the lower bound is known before they are made.
-    docs = docs.select("row", "doc_id", F.monotonically_increasing_id().alias("unit"), plain.alias("plain")).where(F.length("plain") >= 2 * least - 1)
-    words = docs.select("row", "doc_id", "unit", F.split("plain", " ").alias("w")).where(F.size("w") > least - 1)
-    pairs = F.array_distinct(F.zip_with(F.slice("w", 1, F.size("w") - 1), F.slice("w", 2, F.size("w") - 1), lambda a, b: F.concat(a, F.lit(" "), b)))
-    pairs = words.select("row", "doc_id", "unit", F.when(F.size("w") > 1, pairs).otherwise(F.col("w")).alias("b"))
-    pairs = pairs.withColumn("n", F.size("b").cast("long")).where(F.col("n").between(least, most))
-    hits = pairs.select("row", "doc_id", "unit", "n", F.explode("b").alias("bigram")).join(F.broadcast(index), "bigram").where("n between least and most")
-    both = hits.groupBy("row", "doc_id", "unit", "n", "notice", "license", "size").agg(F.count("*").alias("common"))
-    found = both.where(2 * den * F.col("common") >= num * (F.col("n") + F.col("size")))
-    dice = F.round(2.0 * F.col("common") / (F.col("n") + F.col("size")), 6)
-    return found.groupBy("row", "doc_id", "license").agg(F.max(dice).alias("dice"), F.count_distinct("unit").alias("n_units")).drop("row")
+    docs = docs.select("row", "doc_id", "unit.wide", F.monotonically_increasing_id().alias("unit"), plain.alias("plain")).where(F.length("plain") >= 2 * least - 1)
+    words = docs.select("row", "doc_id", "wide", "unit", F.split("plain", " ").alias("w")).where(F.size("w") > least - 1)
+    pairs = F.zip_with(F.slice("w", 1, F.size("w") - 1), F.slice("w", 2, F.size("w") - 1), lambda a, b: F.concat(a, F.lit(" "), b))
+    pairs = F.when(F.size("w") < 2, F.col("w")).when(F.col("wide"), pairs).otherwise(F.array_distinct(pairs))
+    pairs = words.select("row", "doc_id", "wide", "unit", pairs.alias("b"))
+    pairs = pairs.withColumn("n", F.size("b").cast("long")).where(F.col("wide") | F.col("n").between(least, most))
+    hits = pairs.select("row", "doc_id", "wide", "unit", "n", F.posexplode("b").alias("pos", "bigram")).join(F.broadcast(index), "bigram").where("wide or n between least and most")
+    # Windows go by the stretch of the notice's length that they begin in, with all that they may reach.
+    stretch = F.floor(F.col("pos") / F.col("length"))
+    hits = hits.withColumn("at", F.explode(F.when(F.col("wide"), F.array(stretch, stretch - 1)).otherwise(F.array(F.lit(0).cast("long"))))).where("at >= 0")
+    keys = ["row", "doc_id", "wide", "unit", "n", "notice", "license", "size", "least", "length", "at"]
+    both = hits.groupBy(*keys).agg(F.count("*").alias("common"), F.collect_list(F.when(F.col("wide"), F.struct("pos", "bigram"))).alias("hits"))
+    both = both.where("not wide or common >= least").where("not wide or size(array_distinct(hits.bigram)) >= least")
+
+    def window(start) -> Column:
+        """The Dice coefficient of the window that begins with this hit, null below the threshold."""
+        pos = start["pos"]
+        inside = F.filter("hits", lambda h: (h["pos"] >= pos) & (h["pos"] < pos + F.col("length")))
+        common = F.size(F.array_distinct(F.transform(inside, lambda h: h["bigram"])))
+        total = common + F.least("length", F.col("n") - pos) - F.size(inside) + F.col("size")
+        return F.when(2 * den * common >= num * total, F.round(2.0 * common / total, 6))
+
+    begins = F.filter("hits", lambda h: F.floor(h["pos"] / F.col("length")) == F.col("at"))
+    own = F.when(2 * den * F.col("common") >= num * (F.col("n") + F.col("size")), F.round(2.0 * F.col("common") / (F.col("n") + F.col("size")), 6))
+    found = both.withColumn("dice", F.when(F.col("wide"), F.array_max(F.transform(begins, window))).otherwise(own)).where("dice is not null")
+    of_units = F.when(~F.col("wide"), F.col("dice"))
+    out = found.groupBy("row", "doc_id", "license").agg(F.coalesce(F.max(of_units), F.max("dice")).alias("dice"), F.count_distinct(F.when(~F.col("wide"), F.col("unit"))).alias("n_units"))
+    return out.drop("row")
 
 
 def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

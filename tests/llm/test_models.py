@@ -229,6 +229,22 @@ def test_licenses(spark):
 # ---------------------------------------------------------------- archives
 
 
+def test_licenses_inside_larger_units(spark):
+    """Comment blocks, unwrapped texts and sentences in prose hold notices that no unit is close to."""
+    prose = "some words of other prose that go on for a while, one after another, without an end in sight. "
+    mit = "MIT License. Copyright (c) 2020 Somebody. " + licenses.NOTICES[4][1] + " The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software. " + licenses.NOTICES[5][1]
+    gpl = prose + licenses.NOTICES[10][1] + " This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY. " + prose
+
+    def block(text):
+        w = text.split()
+        return "/*\n" + "\n".join(" * " + " ".join(w[i : i + 9]) for i in range(0, len(w), 9)) + "\n */\nint main() {}"
+
+    rows = [(1, block(mit), "", ""), (2, mit, "", ""), (3, block(gpl), "", ""), (4, prose + "Released under the MIT License. " + prose, "", ""), (5, prose * 300, "", ""), (6, "the license " * 500 + "released under the license", "", "")]
+    got = sorted((r.doc_id, r.license, r.dice, r.n_units) for r in licenses.scan(spark, docs(spark, rows)).collect())
+    assert [g[:2] for g in got] == [(1, "MIT"), (2, "MIT"), (3, "GPL-2.0"), (3, "GPL-3.0"), (4, "MIT")]
+    assert all(g[2] == 1 or g[1] == "GPL-2.0" for g in got) and not any(g[3] for g in got)
+
+
 def test_warc_round_trip(spark):
     big, other = "ü" * 700, "é" * 499
     rows = [(1, "http://a/1", big), (7, None, big), (3, "http://a/ 3", big), (4, "u", other), (5, "u", other), (6, "u", None), (8, "u", ""), (None, "u", big), (7, "v", big), (9, "u", "a\r\n\r\nb" * 300)]
