@@ -11,7 +11,7 @@ from ..operators.normalize import address_views, name_views, normalize
 from . import sql
 from .records import DOCUMENTS_SQL, PARTS_SQL, from_documents, from_parts
 
-#: A cap that prunes keys on small tables too.
+#: A cap that prunes keys on small tables too; the queries named *_reference have the reference's caps.
 CAPPED = ops.Blocking(cap=40)
 PLAIN = ops.Blocking()
 
@@ -105,4 +105,9 @@ QUERIES = {
     "block_topm_family": (lambda s, f: ops.family_hits(ops.record_keys(documents(s, f), CAPPED), documents(s, f), CAPPED), _chain(CAPPED) + sql.hits(CAPPED) + " SELECT i, j, fam, w, r FROM hits"),
     "block_candidates": (lambda s, f: _candidates(s, f, CAPPED), sql.blocked(CAPPED) + f" SELECT {_CAND} FROM cand"),
     "block_candidates_numbers": (lambda s, f: _candidates(s, f, CAPPED, parts), sql.blocked(CAPPED, PARTS_SQL) + f" SELECT {_CAND} FROM cand"),
+    # With the reference's own caps by family.
+    "block_postings_reference": (lambda s, f: ops.postings(ops.record_keys(documents(s, f), PLAIN), documents(s, f), PLAIN), _chain(PLAIN) + " SELECT country, fam, key, j, w FROM post"),
+    "block_topm_reference": (lambda s, f: ops.family_hits(ops.record_keys(documents(s, f), PLAIN), documents(s, f), PLAIN), _chain(PLAIN) + sql.hits(PLAIN) + " SELECT i, j, fam, w, r FROM hits"),
+    "block_candidates_reference": (lambda s, f: _candidates(s, f, PLAIN), sql.blocked(PLAIN) + f" SELECT {_CAND} FROM cand"),
+    "block_candidates_numbers_reference": (lambda s, f: _candidates(s, f, PLAIN, parts), sql.blocked(PLAIN, PARTS_SQL) + f" SELECT {_CAND} FROM cand"),
 }

@@ -36,6 +36,12 @@ def test_against_sql(spark, sf, duck, name):
     assert sorted(tuple(cell(r[c]) for c in columns) for r in rows.collect()) == sorted(tuple(cell(r[i]) for i in at) for r in want.fetchall())
 
 
+def test_reference_caps_keep_keys_of_more_than_forty(spark):
+    posts = QUERIES["block_postings_reference"](spark, str(DATA / "sf0.01"))
+    most = max(r["count"] for r in posts.groupBy("country", "fam", "key").count().collect())
+    assert 40 < most <= 300
+
+
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - set(SQL)))
 def test_runs(spark, sf, name):
     assert QUERIES[name](spark, sf).count() > 0
