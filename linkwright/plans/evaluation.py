@@ -217,12 +217,18 @@ def _knn(s, f):
     return top_k(a, b, "label", "vec_id", "embedding", 5).withColumn("cosine", F.round("cosine", 5))
 
 
+def _knn_whole(s, f):
+    e = load(s, f, "embeddings")
+    return top_k(e.where("vec_id % 20 = 0"), e, "label", "vec_id", "embedding", 5).withColumn("cosine", F.round("cosine", 5))
+
+
 _KNN_SQL = """
 WITH a AS (SELECT vec_id, label, list_transform(embedding, lambda z: CAST(z AS DOUBLE)) AS v FROM embeddings),
 s AS (SELECT x.vec_id, y.vec_id AS other, list_dot_product(x.v, y.v) / sqrt(list_dot_product(x.v, x.v) * list_dot_product(y.v, y.v)) AS c
   FROM a x JOIN a y ON x.label = y.label WHERE x.vec_id % 3 = 0 AND y.vec_id % 3 <> 0),
 r AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY round(c, 9) DESC, other) AS rank FROM s)
 SELECT vec_id, other, rank, round(c, 5) AS cosine FROM r WHERE rank <= 5"""
+_KNN_WHOLE_SQL = _KNN_SQL.replace("x.vec_id % 3 = 0 AND y.vec_id % 3 <> 0", "x.vec_id % 20 = 0 AND y.vec_id <> x.vec_id")
 
 _EVIDENCE_SQL = sql.normalized() + STRATA[len(f"WITH {DOCUMENTS_SQL}"):]
 _FIRST = _TOK.format("{0}.name_core") + "[1]"
@@ -268,6 +274,7 @@ QUERIES = {
     "weighted_quantile": (lambda s, f: prof.weighted_quantiles(scores(s, f).withColumn("w", (1 + F.col("j") % 5).cast("double")), "country", "p", "w"), SCORES + ", g AS (SELECT country, p, sum(1.0 + j % 5) AS w FROM scores GROUP BY ALL), r AS (SELECT *, sum(w) OVER (PARTITION BY country ORDER BY p) AS run, sum(w) OVER (PARTITION BY country) AS tot FROM g) SELECT country, " + ", ".join(f"min(p) FILTER (run >= {q} * tot - 1e-9) AS q{round(q * 100)}" for q in (0.1, 0.5, 0.9)) + ", round(sum(CAST(w AS DOUBLE) * p) / sum(CAST(w AS DOUBLE)), 6) AS mean FROM r GROUP BY country"),
     "prediction_stats": (lambda s, f: prof.prediction_stats(ids(s, f), _chosen(s, f)), CHOSEN + ", n AS (SELECT ids.i, country, count(c.j) AS n, count(*) FILTER (c.src = 3) AS n3 FROM ids LEFT JOIN chosen c ON c.i = ids.i GROUP BY ALL) SELECT country, count(*) AS records, round(avg(CAST(n > 0 AS DOUBLE)), 6) AS matched_share, round(avg(n), 6) AS mean_matches, round(quantile_cont(n, 0.95), 6) AS p95, round(sum(n3) / greatest(sum(n), 1), 6) AS s3_share FROM n GROUP BY country"),
     "knn_embeddings": (_knn, _KNN_SQL),
+    "knn_embeddings_whole": (_knn_whole, _KNN_WHOLE_SQL),
     "gbt_oof": (_gbt, None),
     "isotonic_calibration": (_isotonic, None),
 }

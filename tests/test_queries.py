@@ -42,6 +42,11 @@ def test_reference_caps_keep_keys_of_more_than_forty(spark):
     assert 40 < most <= 300
 
 
+def test_neighbours_come_from_the_whole_table(spark, sf):
+    rows = QUERIES["knn_embeddings_whole"](spark, sf).collect()
+    assert all(r.vec_id % 20 == 0 and r.other != r.vec_id for r in rows) and any(r.other % 3 == 0 for r in rows)
+
+
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - set(SQL)))
 def test_runs(spark, sf, name):
     assert QUERIES[name](spark, sf).count() > 0
