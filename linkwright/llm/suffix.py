@@ -135,7 +135,7 @@ def _sort(spark: SparkSession, work: Work, packs: DataFrame, name: str, choose,
     a document with a smaller id; places are ascending offsets in the chunk, packed as int32 differences.
 
     Ties between a chunk's own documents are settled there, and a string is sent on for one of its
-    documents only: one that a third of all documents hold reaches its task once from each chunk.
+    documents only, the one with the smallest id, so that an answer is right for all others: one that a third of all documents hold reaches its task once from each chunk.
     """
     buckets = max(partitions(spark), -(-total // (config.rounds * config.run)))
 
@@ -163,7 +163,9 @@ def _sort(spark: SparkSession, work: Work, packs: DataFrame, name: str, choose,
                     else:
                         tied = np.maximum.reduceat(by_key, first)[group] > low
                         known[order] = tied
-                        goes[order] = ~tied | new
+                        least = np.nonzero(by_key == low)[0]
+                        goes[order] = ~tied
+                        goes[order[least[np.unique(group[least], return_index=True)[1]]]] = True
                     settled = at[known].astype(np.int32)
                     keys, at, doc = keys[goes], at[goes], doc[goes]
                     part = ((bucket[goes] >> np.uint64(20)) % np.uint64(buckets)).astype(np.int64)

@@ -99,6 +99,14 @@ def test_null_ids_and_repeated_rows(spark):
     assert sorted((r.doc_id or 0, len(r.kept)) for r in suffix.substring_dedup(spark, d).collect()) == [(0, len(LONG)), (0, len(LONG)), (1, len(LONG)), (1, len(LONG)), (2, 0)]
 
 
+def test_substrings_of_repeated_ids_in_two_chunks(spark):
+    """The first chunk holds documents 1 and, often, 9, the second only a row of 9."""
+    text = "word0 word1 word2 word3 word4 word5 word6 word7 wo"
+    d = spark.createDataFrame([(1, text)] + [(9, text)] * 301, "doc_id long, text string").coalesce(1)
+    got = sorted((r.doc_id, bytes(r.kept).decode()) for r in suffix.substring_dedup(spark, d, suffix.Suffixes(chunk=50 * 301, rounds=1)).collect())
+    assert got == [(1, text)] + [(9, "")] * 301
+
+
 def near_copies(n, seed, words=60):
     r = random.Random(seed)
     base = [f"w{r.randrange(10**6)}" for _ in range(words)]
