@@ -48,9 +48,8 @@ NULL_WORDS = r"<null>|\b(?:null|none|nan|n/a)\b"
 ALIAS = r"\b(?:a/k/a|f/k/a|d/b/a|t/a|aka|fka|dba|formerly|trading as|also known as)\b:?"
 WEB = r"^(?:www\.)?([a-z0-9][a-z0-9-]*)\.(?:com|net|org|in|co|biz|info|fr|us|io|co\.in)$"
 
-# The phonetic skeleton; digraphs, then classes of single letters, then letters whose runs collapse.
-DIGRAPHS = (("ph", "f"), ("bh", "b"), ("kh", "k"), ("gh", "g"), ("th", "t"), ("dh", "d"), ("sh", "s"), ("ch", "c"), ("jh", "j"), ("ck", "k"))
-CLASSES = (("[ckq]", "k"), ("[vwb]", "b"), ("[jzg]", "j"), ("x", "ks"), ("h", ""))
+# Letters that sound alike, and letters whose runs are told once.
+SOUNDS = (("cq", "k"), ("vw", "b"), ("zg", "j"))
 RUNS = "bdfjklmnprst"
 PHONETIC_EXTRA = ("pvt", "ltd", "pte")
 

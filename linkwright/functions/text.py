@@ -115,27 +115,25 @@ def script(name: Column) -> Column:
     return F.when(name.rlike("^[\\x00-\\x7F]*$"), 0).when(name.rlike("^[\\x00-\\x7FÀ-ɏ]*$"), 1).otherwise(2)
 
 
+#: What a skeleton loses: vowels and y but at the front, and every h.
+_MUTE = "(?<!^)[aeiouyh]|^h"
+#: A letter that its next one repeats, and an m that a consonant follows.
+_REPEATED, _NASAL = f"([{fixed.RUNS}])(?=\\1)", "m(?=[^aeiouym])"
+_SOUNDS_FROM, _SOUNDS_TO = ("".join(x) for x in zip(*((c, to) for letters, to in fixed.SOUNDS for c in letters)))
+
+
 def skeleton(word: Column) -> Column:
-    """Phonetic skeleton: the first letter and the consonant classes of the rest, without vowels or runs."""
-    for a, b in fixed.DIGRAPHS:
-        word = F.replace(word, F.lit(a), F.lit(b))
-    first, rest = F.substring(word, 1, 1), F.substring(word, 2, 1_000_000)
-    for a, b in fixed.CLASSES:
-        first, rest = clean(first, a, b), clean(rest, a, b)
-    word = F.concat(first, clean(rest, "[aeiouy]", ""))
-    word = clean(word, "m([^aeiouym])", "n$1")
-    return clean(word, f"([{fixed.RUNS}])\\1+", "$1")
+    """Phonetic skeleton: the sounds of a word's consonants, each run of one told once, and its first
+    letter; an h only matters where it makes a p an f."""
+    heard = F.regexp_replace(F.replace(word, F.lit("ph"), F.lit("f")), _MUTE, "")
+    heard = F.replace(F.translate(heard, _SOUNDS_FROM, _SOUNDS_TO), F.lit("x"), F.lit("ks"))
+    return F.regexp_replace(F.regexp_replace(heard, _NASAL, "n"), _REPEATED, "")
 
 
 def skeleton_of(word: str) -> str:
     """The same for a single word, to make stop lists with."""
-    for a, b in fixed.DIGRAPHS:
-        word = word.replace(a, b)
-    first, rest = word[:1], word[1:]
-    for a, b in fixed.CLASSES:
-        first, rest = re.sub(a, b, first), re.sub(a, b, rest)
-    word = re.sub("m([^aeiouym])", r"n\1", first + re.sub("[aeiouy]", "", rest))
-    return re.sub(f"([{fixed.RUNS}])\\1+", r"\1", word)
+    heard = re.sub(_MUTE, "", word.replace("ph", "f")).translate(str.maketrans(_SOUNDS_FROM, _SOUNDS_TO, "")).replace("x", "ks")
+    return re.sub(_REPEATED, "", re.sub(_NASAL, "n", heard))
 
 
 PHONETIC_STOP = tuple(sorted({skeleton_of(w) for x in (*fixed.LEGAL_WORDS, *fixed.NOISE_WORDS, *fixed.PHONETIC_EXTRA) for w in x.split(" ")}))

@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-from itertools import combinations
-from math import factorial
+from math import comb
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -101,17 +99,22 @@ def calibration_bins(scores: DataFrame, bins: int = 20) -> DataFrame:
     return g.select("bin", "n", F.round("mp", 6).alias("mean_p"), F.round("my", 6).alias("mean_y"), F.round(share * F.abs(F.col("mp") - F.col("my")), 6).alias("ece_part"))
 
 
+#: Kinds of wrong pairs, fixed values: chosen wrongly for a record without or with matches; true pairs
+#: that are just below the threshold, missed beside found ones, or scored low.
+CHOSEN_WRONGLY, NOT_CHOSEN = ("singleton_fp", "multi_fp"), ("rejected", "missed_extra", "scored_low")
+
+
 def label_errors(scores: DataFrame, truth: DataFrame, tau: float) -> DataFrame:
-    """Every wrong pair at the threshold: i, j, p, cat. Wrongly chosen for a record without or with
-    matches; true but just rejected, missed beside found ones, or scored low."""
-    t = truth.select("i", "j", F.lit(True).alias("truth"))
-    d = scores.select("i", "j", "p", (F.col("p") >= tau).alias("pred")).join(t, ["i", "j"], "left").na.fill(False, ["truth"])
-    per = truth.groupBy("i").agg(F.count("*").alias("n_true"))
-    hits = F.sum((F.col("pred") & F.col("truth")).cast("int")).over(Window.partitionBy("i"))
-    d = d.withColumn("n_tp", hits).join(per, "i", "left").na.fill(0, ["n_true"]).where(F.col("pred") != F.col("truth"))
-    wrong = F.when(F.col("n_true") == 0, "singleton_fp").otherwise("multi_fp")
-    missed = F.when(F.col("p") >= 0.5, "rejected").when(F.col("n_tp") > 0, "missed_extra").otherwise("scored_low")
-    return d.select("i", "j", "p", F.when(F.col("pred"), wrong).otherwise(missed).alias("cat"))
+    """Every wrong pair at the threshold: i, j, p, cat, a name of CHOSEN_WRONGLY or NOT_CHOSEN."""
+    marked = scores.select("i", "j", "p").join(truth.select("i", "j", F.lit(True).alias("true")), ["i", "j"], "left")
+    pairs = marked.groupBy("i").agg(F.collect_list(F.struct("j", "p", F.col("true").isNotNull().alias("true"))).alias("pairs"))
+    matched = truth.select("i", F.lit(True).alias("some")).distinct()
+    wrong = F.filter("pairs", lambda x: x["true"] != (x["p"] >= tau))
+    wrong = pairs.join(matched, "i", "left").select("i", F.explode(wrong).alias("x"), F.col("some").isNull().alias("none"), F.exists("pairs", lambda x: x["true"] & (x["p"] >= tau)).alias("found"))
+    p = F.col("x.p")
+    over = F.element_at(F.array(*map(F.lit, CHOSEN_WRONGLY)), F.when(F.col("none"), 1).otherwise(2))
+    under = F.element_at(F.array(*map(F.lit, NOT_CHOSEN)), F.when(p >= 0.5, 1).otherwise(F.when(F.col("found"), 2).otherwise(3)))
+    return wrong.select("i", "x.j", "x.p", F.when(p >= tau, over).otherwise(under).alias("cat"))
 
 
 def f_sets(pred: set, truth: set) -> float:
@@ -122,36 +125,30 @@ def f_sets(pred: set, truth: set) -> float:
     return 1.25 * len(pred & truth) / (0.25 * len(truth) + len(pred))
 
 
-def shapley(pred: set, truth: set, errors: dict[str, set]) -> dict[str, float]:
-    """What each kind of error costs: its mean gain in F0.5 when mended, over all orders of mending."""
-    kinds = sorted(errors)
-    wrong = {"singleton_fp", "multi_fp"}
-
-    def mended(some: tuple[str, ...]) -> float:
-        p = set(pred)
-        for k in some:
-            p = p - errors[k] if k in wrong else p | errors[k]
-        return f_sets(p, truth)
+def shapley_losses(ids: DataFrame, scores: DataFrame, truth: DataFrame, tau: float) -> DataFrame:
+    """(i, cat, loss): what each kind of a record's errors costs, its mean gain in F0.5 when mended over
+    all orders of mending.
 
-    n, out = len(kinds), {}
-    for k in kinds:
-        rest = [x for x in kinds if x != k]
-        out[k] = sum(factorial(r) * factorial(n - r - 1) / factorial(n) * (mended((*s, k)) - mended(s)) for r in range(n) for s in combinations(rest, r))
-    return out
+    Mending a kind only moves the record's three counts, so F0.5 with any set of kinds mended, a bit
+    mask, is an expression of its counts; a kind's mean gain weighs each mask without it by the share
+    of orders in which just those come before it. A kind that a record lacks gains nothing.
+    """
+    kinds = (*CHOSEN_WRONGLY, *NOT_CHOSEN)
+    counts = label_errors(scores, truth, tau).groupBy("i").agg(*(F.count_if(F.col("cat") == k).alias(k) for k in kinds))
+    d = per_record(ids, scores.where(F.col("p") >= tau).select("i", "j"), truth).join(counts, "i")
 
+    def mended(mask: int) -> Column:
+        more, less = (sum((F.col(k) for b, k in enumerate(kinds) if mask >> b & 1 and k in some), F.lit(0)) for some in (NOT_CHOSEN, CHOSEN_WRONGLY))
+        return f_beta(F.col("tp") + more, F.col("n_pred") + more - less, F.col("n_true"))
 
-def shapley_losses(scores: DataFrame, truth: DataFrame, tau: float) -> DataFrame:
-    """(i, cat, loss) of each record with errors: groups hold one record's pairs."""
-    pairs = scores.where(F.col("p") >= tau).select("i", "j", F.lit("pred").alias("what")).unionByName(truth.select("i", "j", F.lit("truth").alias("what")))
-    errors = label_errors(scores, truth, tau).select("i", "j", F.col("cat").alias("what"))
+    d = d.select("i", *kinds, *(mended(m).alias(f"f{m}") for m in range(1 << len(kinds))))
 
-    def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        sets = {k: set(g) for k, g in rows.groupby("what")["j"]}
-        pred, true = sets.pop("pred", set()), sets.pop("truth", set())
-        losses = shapley(pred, true, sets) if sets else {}
-        return pd.DataFrame({"i": [key[0]] * len(losses), "cat": list(losses), "loss": list(losses.values())})
+    def gain(b: int) -> Column:
+        before = [m for m in range(1 << len(kinds)) if not m >> b & 1]
+        return sum(((F.col(f"f{m | 1 << b}") - F.col(f"f{m}")) / (len(kinds) * comb(len(kinds) - 1, m.bit_count())) for m in before), F.lit(0.0))
 
-    return pairs.join(errors.select("i").distinct(), "i", "left_semi").unionByName(errors).groupBy("i").applyInPandas(run, "i long, cat string, loss double")
+    each = F.array(*(F.struct(F.lit(k).alias("cat"), F.col(k).alias("n"), gain(b).alias("loss")) for b, k in enumerate(kinds)))
+    return d.select("i", F.explode(F.filter(each, lambda x: x["n"] > 0)).alias("x")).select("i", "x.cat", "x.loss")
 
 
 def resampled(records: DataFrame, rounds: int, seed: int) -> DataFrame:

@@ -80,6 +80,17 @@ tx AS (SELECT l.i, l.j, l.p, l.p >= 0.75 AS pred, l.y = 1 AS truth, coalesce(n.n
 errors AS (SELECT i, j, p, CASE WHEN pred AND n_true = 0 THEN 'singleton_fp' WHEN pred THEN 'multi_fp' WHEN p >= 0.5 THEN 'rejected' WHEN n_tp > 0 THEN 'missed_extra' ELSE 'scored_low' END AS cat FROM tx WHERE pred <> truth)"""
 
 
+_SHAPLEY_SQL = _TAX.replace(SCORES, SCORES + ", chosen AS (SELECT i, j FROM scores WHERE p >= 0.75)" + PER, 1) + f""",
+ek AS (SELECT i, cat, count(*) AS c FROM errors GROUP BY i, cat),
+kinds AS (SELECT * FROM (VALUES ('singleton_fp', 1, 0, -1), ('multi_fp', 2, 0, -1), ('rejected', 4, 1, 1), ('missed_extra', 8, 1, 1), ('scored_low', 16, 1, 1)) k(cat, bit, hits, size)),
+masks AS (SELECT CAST(unnest(range(32)) AS INTEGER) AS mask),
+am AS (SELECT per.i, mask, n_true, tp + coalesce(sum(c * hits) FILTER (mask & bit <> 0), 0) AS tp, n_pred + coalesce(sum(c * size) FILTER (mask & bit <> 0), 0) AS n_pred
+  FROM per JOIN ek USING (i) JOIN kinds USING (cat) CROSS JOIN masks GROUP BY per.i, mask, n_true, tp, n_pred),
+fm AS (SELECT i, mask, {_F} AS f FROM am)
+SELECT e.i, e.cat, round(sum((b.f - a.f) / CASE bit_count(a.mask) WHEN 0 THEN 5 WHEN 1 THEN 20 WHEN 2 THEN 30 WHEN 3 THEN 20 ELSE 5 END), 6) AS loss
+FROM ek e JOIN kinds k USING (cat) JOIN fm a ON a.i = e.i AND a.mask & k.bit = 0 JOIN fm b ON b.i = e.i AND b.mask = a.mask | k.bit GROUP BY e.i, e.cat"""
+
+
 def _tags(s, f):
     p = pair_records(_cand(s, f).select("i", "j"), documents(s, f))
     same, lg = F.col("name_core") == F.col("name_core_b"), legal_skeleton("name_n", "script") != legal_skeleton("name_n_b", "script_b")
@@ -251,7 +262,7 @@ QUERIES = {
     "reweighted_f05": (lambda s, f: ev.reweighted(_records(s, f), {"de": 0.5, "en": 0.3, "es": 0.2}).select("value"), CHOSEN + PER + ", m AS (SELECT country, avg(f) AS m FROM per GROUP BY country) SELECT round(sum(m * CASE country WHEN 'de' THEN 0.5 WHEN 'en' THEN 0.3 ELSE 0.2 END), 6) AS value FROM m WHERE country IN ('de', 'en', 'es')"),
     "feature_variant_rank": (_variants, SCORES + ", c AS (SELECT i, j, country, s_name, s_all FROM cand JOIN ids USING (i)) SELECT i, j, country, " + ", ".join(f"round((rank() OVER (PARTITION BY country ORDER BY {x}) + (count(*) OVER (PARTITION BY country, {x}) - 1) / 2.0) / count(*) OVER (PARTITION BY country), 6) AS {x}" for x in ("s_name", "s_all")) + " FROM c"),
     "eda_fuzzy_evidence": (_fuzzy_evidence, None),
-    "shapley_losses": (lambda s, f: ev.shapley_losses(scores(s, f), truth(s, f), 0.75).withColumn("loss", F.round("loss", 6)), None),
+    "shapley_losses": (lambda s, f: ev.shapley_losses(ids(s, f), scores(s, f), truth(s, f), 0.75).withColumn("loss", F.round("loss", 6)), _SHAPLEY_SQL),
     "bootstrap_ci": (lambda s, f: ev.bootstrap(_records(s, f)), None),
     "paired_bootstrap": (lambda s, f: ev.paired_bootstrap(_records(s, f), ev.per_record(ids(s, f), _chosen(s, f, 0.5).select("i", "j"), truth(s, f))), None),
     "folds_stratified": (lambda s, f: sp.folds(_strata(s, f), 5, 42), STRATA + f" SELECT i, country, bucket, CAST((row_number() OVER (PARTITION BY country, bucket ORDER BY {_md5(42)}, i) - 1) % 5 AS INTEGER) AS fold FROM strata"),

@@ -186,6 +186,18 @@ def _seen(s, f):
     return seen.select("eid", F.lit("seen").alias("part")).unionByName(rest.select("eid", F.lit("unseen").alias("part")))
 
 
+_EXPECTED_SQL = SCORES.replace("WITH ", "WITH RECURSIVE ", 1) + """,
+cs AS (SELECT * FROM (SELECT i, j, p, row_number() OVER w AS r, count(*) OVER (PARTITION BY i) AS n, max(p) OVER (PARTITION BY i) AS best FROM scores WINDOW w AS (PARTITION BY i ORDER BY p DESC, j)) WHERE best >= 0.001),
+dp AS (SELECT i, r AS k, CAST(0 AS BIGINT) AS r, CAST(0 AS BIGINT) AS m, CAST(1 AS DOUBLE) AS q FROM cs WHERE r <= 12
+  UNION ALL SELECT d.i, d.k, c.r, d.m + h AS m, sum(d.q * CASE WHEN h = 1 THEN c.p ELSE 1 - c.p END) AS q
+  FROM dp d JOIN cs c ON c.i = d.i AND c.r = d.r + 1 CROSS JOIN (SELECT unnest([0, 1]) AS h) WHERE h = 1 OR c.r <> d.k GROUP BY d.i, d.k, c.r, d.m + h),
+wk AS (SELECT dp.i, dp.k, dp.m, dp.q FROM dp JOIN (SELECT DISTINCT i, n FROM cs) z ON z.i = dp.i AND z.n = dp.r),
+ev AS (SELECT x.i, x.r AS k, sum(1.25 * w.q / (0.25 * w.m + x.r)) AS e FROM cs x JOIN wk w ON w.i = x.i AND w.k <= x.r WHERE x.r <= 12 GROUP BY x.i, x.r
+  UNION ALL SELECT i, 0, product(1 - p) FROM cs GROUP BY i),
+bs AS (SELECT * FROM ev QUALIFY row_number() OVER (PARTITION BY i ORDER BY round(e, 12) DESC, k) = 1)
+SELECT ids.i, coalesce(string_agg(CAST(c.j AS VARCHAR), ',' ORDER BY c.r) FILTER (c.j IS NOT NULL), '') AS ids, round(coalesce(any_value(bs.e), 1.0), 6) AS expected
+FROM ids LEFT JOIN bs USING (i) LEFT JOIN cs c ON c.i = ids.i AND c.r <= bs.k GROUP BY ids.i"""
+
 QUERIES = {
     "token_df_idf": (lambda s, f: feat.token_idf(documents(s, f)), sql.normalized() + sql.idf() + " SELECT * FROM idf"),
     "pair_set_features": (lambda s, f: feat.plain_features(_paired(s, f)).select("i", "j", *_SETS), _plain_sql(_SETS)),
@@ -208,5 +220,5 @@ QUERIES = {
     "top_one": (lambda s, f: dec.top_one(scores(s, f)), SCORES + " SELECT i, j, p FROM scores QUALIFY row_number() OVER (PARTITION BY i ORDER BY p DESC, j) = 1"),
     "split_seen_unseen": (_seen, f"{sql.normalized()} SELECT eid, CASE WHEN country IN ('de', 'en') THEN 'seen' ELSE 'unseen' END AS part FROM norm"),
     "idlist_output": (lambda s, f: _lists(ids(s, f), dec.one_owner(scores(s, f), "hard").where("p >= 0.75")), SCORES + OWNED + ", g AS (SELECT * FROM owned WHERE p >= 0.75)" + LISTS.format(chosen="g")),
-    "expected_f_selection": (lambda s, f: dec.decide_expected_f(ids(s, f), scores(s, f)).select("i", F.array_join(F.col("ids").cast("array<string>"), ",").alias("ids"), F.round("expected", 6).alias("expected")), None),
+    "expected_f_selection": (lambda s, f: dec.decide_expected_f(ids(s, f), scores(s, f)).select("i", F.array_join(F.col("ids").cast("array<string>"), ",").alias("ids"), F.round("expected", 6).alias("expected")), _EXPECTED_SQL),
 }

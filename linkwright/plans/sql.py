@@ -41,14 +41,13 @@ def canonical(x: str, table: dict[str, str]) -> str:
 
 
 def skeleton(x: str) -> str:
-    for a, b in fixed.DIGRAPHS:
-        x = f"replace({x}, '{a}', '{b}')"
-    first, rest = f"substr({x}, 1, 1)", f"substr({x}, 2)"
-    for a, b in fixed.CLASSES:
-        first, rest = sub(first, a, b), sub(rest, a, b)
-    x = sub(f"{first} || {sub(rest, '[aeiouy]', '')}", "m([^aeiouym])", "n\\1")
+    x = f"replace({x}, 'ph', 'f')"
+    x = f"replace({sub(f'substr({x}, 1, 1)', 'h', '')} || {sub(f'substr({x}, 2)', '[aeiouyh]', '')}, 'x', 'ks')"
+    for letters, to in fixed.SOUNDS:
+        x = sub(x, f"[{letters}]", to)
+    x = sub(x, "m([^aeiouym])", "n\\1")
     for c in fixed.RUNS:
-        x = sub(x, f"{c}+", c)
+        x = sub(x, f"{c}{{2,}}", c)
     return x
 
 

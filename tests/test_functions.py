@@ -98,18 +98,19 @@ def test_token_scores():
 # ---------------------------------------------------------------- decisions
 
 
-@pytest.mark.parametrize("p", [[0.9, 0.6, 0.3, 0.1], [0.5], [0.2, 0.2, 0.2], [0.99, 0.95, 0.9, 0.4, 0.05], [0.7] * 6])
-@pytest.mark.parametrize("missed", [0.0, 0.3])
-def test_expected_f_is_the_mean_over_all_worlds(p, missed):
-    curve = decide.expected_f(np.array(p), most=4, missed=missed)
-    for k, got in enumerate(curve):
-        want = 0.0
-        for world in itertools.product((0, 1), repeat=len(p) + 1):
-            q = [*p, missed]
-            weight = np.prod([x if w else 1 - x for x, w in zip(q, world)])
-            truth = {i for i, w in enumerate(world) if w}
-            want += weight * evaluate.f_sets(set(range(k)), truth)
-        assert got == pytest.approx(want, abs=1e-9)
+@pytest.mark.parametrize("missed", [[], [0.3], [0.3, 0.1]])
+def test_expected_f_is_the_mean_over_all_worlds(spark, missed):
+    cases = [[0.9, 0.6, 0.3, 0.1], [0.5], [0.2, 0.2, 0.2], [0.99, 0.95, 0.9, 0.4, 0.05], [0.7] * 6, [1.0, 0.0]]
+    d = spark.createDataFrame([(p, missed) for p in cases], "p array<double>, missed array<double>")
+    for p, curve in d.select("p", decide.expected_f(F.col("p"), 4, F.col("missed"))).collect():
+        assert len(curve) == min(len(p), 4) + 1
+        for k, got in enumerate(curve):
+            want = 0.0
+            q = [*p, *missed]
+            for world in itertools.product((0, 1), repeat=len(q)):
+                weight = np.prod([x if w else 1 - x for x, w in zip(q, world)])
+                want += weight * evaluate.f_sets(set(range(k)), {i for i, w in enumerate(world) if w})
+            assert got == pytest.approx(want, abs=1e-9)
 
 
 def test_expected_f_choices(spark):
@@ -146,11 +147,26 @@ def test_macro_counts_every_record(spark):
     assert evaluate.summary(evaluate.per_record(ids, none, truth)).where("country = 'ALL'").first().macro_f05 == 0.5
 
 
-def test_shapley_sums_to_the_gain():
-    pred, truth = {1, 2, 3}, {1, 4, 5}
-    errors = {"multi_fp": {2, 3}, "rejected": {4}, "scored_low": {5}}
-    got = evaluate.shapley(pred, truth, errors)
-    assert sum(got.values()) == pytest.approx(1 - evaluate.f_sets(pred, truth)) and all(v > 0 for v in got.values())
+def test_shapley_is_the_mean_over_all_orders(spark):
+    pred, truth = {1: {11, 12, 13}, 2: {21}, 3: set(), 4: {41}}, {1: {11, 14, 15}, 3: {31}, 4: {41}}
+    p = {(1, 14): 0.6, (1, 15): 0.1, (3, 31): 0.2}
+    scores = [(i, j, 0.9) for i, js in pred.items() for j in js] + [(i, j, x) for (i, j), x in p.items()]
+    cat = {(1, 12): "multi_fp", (1, 13): "multi_fp", (1, 14): "rejected", (1, 15): "missed_extra", (2, 21): "singleton_fp", (3, 31): "scored_low"}
+    frames = spark.createDataFrame(scores, "i long, j long, p double"), spark.createDataFrame([(i, j) for i, js in truth.items() for j in js], "i long, j long")
+    assert {(r.i, r.j): r.cat for r in evaluate.label_errors(*frames, 0.75).collect()} == cat
+    ids = spark.createDataFrame([(i, "us") for i in pred], "i long, country string")
+    want = {}
+    for i in pred:
+        kinds = sorted({c for (k, _), c in cat.items() if k == i})
+        orders = list(itertools.permutations(kinds))
+        for order in orders:
+            now = set(pred[i])
+            for c in order:
+                then = now ^ {j for (k, j), x in cat.items() if k == i and x == c}
+                want[i, c] = want.get((i, c), 0) + (evaluate.f_sets(then, truth.get(i, set())) - evaluate.f_sets(now, truth.get(i, set()))) / len(orders)
+                now = then
+    got = {(r.i, r.cat): r.loss for r in evaluate.shapley_losses(ids, *frames, 0.75).collect()}
+    assert got == pytest.approx(want) and len(got) == 5
 
 
 def test_isotonic_pools(spark):
