@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import Work, binaries, int64, mix, pieces, table, texts
+from .components import connected
 from .near import BLOCK, hashed_bands, likely_jaccard, near_components
 
 _LOWER = bytes(x + 32 if 65 <= x <= 90 else x for x in range(256))
@@ -115,8 +116,11 @@ def minhash_dedup(spark: SparkSession, docs: DataFrame, sketch: Sketch = Sketch(
     Equal sets meet by a 128-bit fingerprint, so copies cost one row each; near ones by SetSketch
     bands (see near.py), the likelihood screen, then the full sets.
     Nulls: a null text has no words and links with nothing; a row with null doc_id is kept, takes
-    no part, and its component_id is null. Repeated rows: rows of one doc_id are one node, all kept
-    if it is kept. Empty input gives no rows. Other columns are ignored.
+    no part, and its component_id is null. Repeated rows: rows of one doc_id are one node, whatever their
+    texts, all kept if it is kept; one of them without words is its own component. Ties: of equal sets the
+    smallest doc_id names the class. Very long texts are one task's memory, some 40 bytes a word.
+    Sets are equal when their 128-bit fingerprints are, shingles when their 64-bit hashes are.
+    Empty input gives no rows. Other columns are ignored, whatever their names.
     """
     work = Work(spark, "minhash")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -144,6 +148,13 @@ def minhash_dedup(spark: SparkSession, docs: DataFrame, sketch: Sketch = Sketch(
     num, den = sketch.threshold
     screen = likely_jaccard(sketch.base, num / den, sketch.lost)
     near = near_components(spark, work, firsts, firsts.count(), sketch.registers // sketch.rows, fetch, measure, screen, sketch.threshold, sketch.block)
+    # Rows of one doc_id with different sets belong to several classes, which that document joins.
+    own = seen.where("n_shingles > 0 and doc_id is not null").select("doc_id", F.struct(*whole).alias("class"))
+    several = own.groupBy("doc_id").agg(F.min("class").alias("a"), F.max("class").alias("b")).where("a <> b").select("doc_id")
+    several = work.save(several, "several")
+    if not several.isEmpty():
+        through = own.join(several, "doc_id", "left_semi").select("doc_id", "class.*").join(same, whole).select(F.col("doc_id").alias("a"), F.col("id").alias("b"))
+        near = connected(work, work.save(through, "through").unionByName(near.select(F.col("id").alias("a"), F.col("comp").alias("b"))), "repeated")
     named = work.save(same.join(near, "id", "left").select(*whole, F.coalesce("comp", "id").alias("comp")), "named")
     linked = seen.select("doc_id", *whole).join(named, whole, "left")
     out = linked.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("comp", "doc_id")).alias("component_id"))

@@ -12,6 +12,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -165,7 +166,11 @@ def near_components(spark: SparkSession, work: Work, items: DataFrame, total: in
         sets = [x for p in parts for x in p[0]]
         signatures = np.concatenate([p[1] for p in parts]) if len(parts) > 1 else parts[0][1]
         columns = {c: group.column(c).to_numpy(zero_copy_only=False) for c in ("id", *more)}
-        at = _once(columns["id"], *(columns[c] for c in more[:1]))
+        if len(np.unique(columns["id"])) == len(sets):
+            return columns, (columns["id"], np.array([len(x) for x in sets], np.int64), signatures, sets)
+        # One id may have rows of different texts: those are items of their own.
+        prints = np.array([xxhash.xxh3_64_intdigest(x.tobytes()) for x in sets], np.uint64).view(np.int64)
+        at = _once(columns["id"], prints, *(columns[c] for c in more[:1]))
         if len(at) < len(sets):
             sets, signatures = [sets[k] for k in at], signatures[at]
             columns = {c: x[at] for c, x in columns.items()}

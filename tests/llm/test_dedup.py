@@ -99,6 +99,13 @@ def test_null_ids_and_repeated_rows(spark):
     assert sorted((r.doc_id or 0, len(r.kept)) for r in suffix.substring_dedup(spark, d).collect()) == [(0, len(LONG)), (0, len(LONG)), (1, len(LONG)), (1, len(LONG)), (2, 0)]
 
 
+def test_one_document_of_several_texts_joins_their_classes(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(30)) for x in "abc")
+    rows = [(1, a), (5, a), (5, b), (9, b), (20, c), (21, c.replace("c3 ", "z ")), (5, c.replace("c29", "y")), (30, None), (9, "")]
+    got = sorted((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in minhash.minhash_dedup(spark, frame(spark, rows)).collect())
+    assert got == [(1, 26, 1, True), (5, 26, 1, False), (5, 26, 1, False), (5, 26, 1, False), (9, 0, 9, True), (9, 26, 1, False), (20, 26, 1, False), (21, 26, 21, True), (30, 0, 30, True)]
+
+
 def test_substrings_of_repeated_ids_in_two_chunks(spark):
     """The first chunk holds documents 1 and, often, 9, the second only a row of 9."""
     text = "word0 word1 word2 word3 word4 word5 word6 word7 wo"
