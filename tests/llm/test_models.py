@@ -78,14 +78,14 @@ def test_kneser_ney_is_the_textbook_one():
     y, owner, _ = language.symbols([b"the cat sat on the mat", "äöü the".encode(), b"that hat"])
     g = language.grams(y)[owner[3:] >= 0]
     hashes, n = np.unique(g, return_counts=True)
-    model = language.KneserNey(hashes, n)
+    model = language.kneser_ney(hashes, n)
 
     def letters(h):
         return tuple(int(h) >> s & 0xFFFF for s in (48, 32, 16, 0))
 
     p = plain_kneser_ney(Counter({letters(h): int(c) for h, c in zip(hashes, n)}))
     probes = list(hashes) + [np.uint64(int(h) ^ (5 << s)) for h in hashes[:20] for s in (0, 16, 32, 48)]
-    assert np.allclose(model.log_p(np.array(probes, np.uint64)), [np.log(p(letters(h))) for h in probes])
+    assert np.allclose(language.log_p(model, np.array(probes, np.uint64)), [np.log(p(letters(h))) for h in probes])
 
 
 def test_symbols_pad_and_squeeze():
@@ -94,11 +94,38 @@ def test_symbols_pad_and_squeeze():
     assert has.tolist() == [True, False, True]
 
 
-def test_language_rare_beside_frequent(spark):
-    rows = [(i, "das ist ein satz und noch ein satz " * 20, "de", "s") for i in range(20)] + [(20, "to jest krótkie zdanie po polsku", "pl", "s")]
-    few, all_ = ({r.doc_id: r for r in language.identify(spark, docs(spark, rows), F.lit(True), language.Language(grams=g)).collect()} for g in (10, 400_000))
-    assert few[20].lang_pred == "pl" and few[0].lang_pred == "de"
-    assert all(few[i].entropy == pytest.approx(all_[i].entropy) and few[i].score == pytest.approx(all_[i].score) for i in all_)
+def plain_language(rows, step=1 << 20):
+    """{doc_id: cross-entropies by language} by the textbook recursion, learned from all rows."""
+    from collections import Counter
+
+    def grams_of(text):
+        y, owner, _ = language.symbols([text.encode()])
+        return [tuple(int(h) >> s & 0xFFFF for s in (48, 32, 16, 0)) for h in language.grams(y)[owner[3:] >= 0]]
+
+    names = sorted({x for _, _, x, _ in rows})
+    p = [plain_kneser_ney(sum((Counter(grams_of(t)) for _, t, x, _ in rows if x == name), Counter())) for name in names]
+    return names, {d: [-np.mean([np.log(q(g)) for g in grams_of(t)]) for q in p] for d, t, _, _ in rows}
+
+
+def test_language_by_every_path_is_the_textbook_one(spark):
+    """A language of one short document beside frequent ones; whole models, few ready 4-grams, and tables."""
+    rows = [(i, f"das ist ein satz und noch ein satz nummer {'abcdefghij'[i % 10] * 3} " * (1 + i % 3), "de", "s") for i in range(20)]
+    rows += [(20, "to jest krótkie zdanie po polsku", "pl", "s"), (21, "this is a sentence and one more 𐐷𐐷", "en", "s")]
+    names, want = plain_language(rows)
+    for config in (language.Language(), language.Language(ready=10), language.Language(bound=0), language.Language(bound=0, ready=10)):
+        got = {r.doc_id: r for r in language.identify(spark, docs(spark, rows), F.lit(True), config).collect()}
+        assert got[20].lang_pred == "pl" and got[21].lang_pred == "en"
+        assert all(r.lang_pred == names[int(np.argmin(want[d]))] and r.entropy == pytest.approx(min(want[d]), abs=1e-5) for d, r in got.items())
+
+
+def test_language_tables_give_what_models_give(spark, sf):
+    d = table(spark, sf, "documents")
+    learn = F.col("doc_id") % 5 != 0
+    one, other = ({r.doc_id: r for r in language.identify(spark, d, learn, c).collect()} for c in (language.Language(), language.Language(bound=0, ready=2000)))
+    assert one.keys() == other.keys()
+    for k, r in one.items():
+        assert r.lang_pred == other[k].lang_pred and r.accepted == other[k].accepted
+        assert r.score == pytest.approx(other[k].score, abs=1e-3) and (r.entropy or 0) == pytest.approx(other[k].entropy or 0, abs=1e-5)
 
 
 # ---------------------------------------------------------------- quality
