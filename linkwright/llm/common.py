@@ -69,6 +69,8 @@ class Work:
         The catalog forgets the table at once; what is returned reads its files with their buckets.
         """
         known = f"{name}_{uuid.uuid4().hex}".replace("-", "_")
+        if n > int(self.spark.conf.get("spark.sql.sources.bucketing.maxBuckets")):
+            self.spark.conf.set("spark.sql.sources.bucketing.maxBuckets", str(n))
         df.repartition(n, key).write.bucketBy(n, key).sortBy(key).option("compression", self.codec).option("path", f"{self.path}/{name}").saveAsTable(known)
         out = self.spark.table(known)
         self.spark.sql(f"DROP TABLE {known}")

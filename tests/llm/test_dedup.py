@@ -168,14 +168,72 @@ def test_fingerprints_tell_strings_apart(found):
 
     data = np.frombuffer("".join(found).encode().ljust(80, b"."), np.uint8)
     at = np.arange(len(data) - 30 + 1)
-    keys, buckets = suffix.fingerprints(data, at, 30, step=16), suffix.heads(data, at)
     seen = {}
-    for k, b, i in zip(keys.tolist(), buckets.tolist(), at.tolist()):
+    for k, i in zip(suffix.fingerprints(data, at, 30, step=16).tolist(), at.tolist()):
         s = bytes(data[i : i + 30])
-        assert seen.setdefault(s, (k, b)) == (k, b)
+        assert seen.setdefault(s, k) == k
     assert len(set(seen.values())) == len(seen)
 
 
+def plain_marks(found, width, period):
+    """{(document, place): shifts} of the windows over each place that begin in a smaller document too."""
+    first = {}
+    for d, t in found:
+        for i in range(len(t) - width + 1):
+            first[t[i : i + width]] = min(d, first.get(t[i : i + width], d))
+    out = {}
+    for n, (d, t) in enumerate(found):
+        for i in range(len(t) - width + 1):
+            if first[t[i : i + width]] < d:
+                for shift in range(period):
+                    out.setdefault((n, i + shift), set()).add(shift)
+    return out
+
+
+@settings(max_examples=60, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.tuples(st.integers(0, 3), st.text(alphabet="ab", max_size=40)), min_size=1, max_size=5), st.sampled_from([(12, 7), (8, 7), (20, 13), (50, 21)]))
+def test_marks_of_a_bucket(found, sizes):
+    """Ranks and classes against all windows; ties reach far beyond the cover's period."""
+    import numpy as np
+
+    config = suffix.Suffixes(width=sizes[0], period=sizes[1])
+    found = [(d, (t * 3).encode()) for d, t in found]
+    row = {"doc_ids": np.array([d for d, _ in found], np.int64).tobytes(), "sizes": np.array([len(t) for _, t in found], np.int64).tobytes(), "data": b"".join(t for _, t in found)}
+    ends = np.cumsum([len(t) for _, t in found])
+    at = np.arange(ends[-1])
+    owner = suffix._owners(at, ends)
+    ok = at + config.mid <= ends[owner]
+    at, owner = at[ok], owner[ok]
+    want = plain_marks(found, *sizes)
+    if len(at):
+        got = suffix.marks(suffix.contexts(row, at, owner, config), np.array([d for d, _ in found])[owner], config)
+        for n, a, m in zip(owner.tolist(), at.tolist(), got.tolist()):
+            place = a - int(ends[n] - len(found[n][1]))
+            assert {s for s in range(sizes[1]) if m >> s & 1} == {s for s in want.get((n, place), ()) if place - s >= 0}
+
+
+@pytest.mark.parametrize("config", [suffix.Suffixes(chunk=400, rounds=2, run=500), suffix.Suffixes(width=30, period=13, chunk=260, rounds=1), suffix.Suffixes(width=9, period=7, chunk=70)])
+def test_long_texts_in_parts(spark, config):
+    """Texts of many chunks: matches across their seams, whole copies, and runs of one character."""
+    r = random.Random(8)
+    base = "".join(r.choices("abcdefg é", k=3000))
+    rows = [(5, base), (2, base[700:1500]), (7, "z" * 200 + base[390:420] + "y" * 2500), (8, base[:1200] + "!" + base[1200:]), (9, "z" * 900), (11, base), (11, base[5:]), (12, base[100:140]), (20, "short")]
+    want = {}
+    for d, t in rows:  # rows of one document are no smaller than each other
+        smaller = [x.encode() for e, x in rows if e < d]
+        t = t.encode()
+        gone = bytearray(len(t))
+        for i in range(len(t) - config.width + 1):
+            if any(t[i : i + config.width] in x for x in smaller):
+                gone[i : i + config.width] = b"\1" * config.width
+        want.setdefault(d, []).append(bytes(x for x, g in zip(t, gone) if not g))
+    got = {}
+    for x in suffix.substring_dedup(spark, frame(spark, rows), config).collect():
+        got.setdefault(x.doc_id, []).append(bytes(x.kept))
+        assert x.n_bytes - sum(b - a for a, b in zip(x.starts, x.ends)) == len(x.kept)
+    assert {d: sorted(x) for d, x in got.items()} == {d: sorted(x) for d, x in want.items()}
+
+
 def test_covers():
     for v, d in suffix.COVERS.items():
         assert {(a - b) % v for a in d for b in d} == set(range(v))
