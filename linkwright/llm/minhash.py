@@ -129,25 +129,30 @@ def minhash_dedup(spark: SparkSession, docs: DataFrame, sketch: Sketch = Sketch(
         known = _Words()
         for batch, sets in ((b.slice(at, len(part)), shingle_sets(part, sketch.words, known)) for b in batches for at, part in pieces(texts(b.column(1)))):
             prints = np.frombuffer(b"".join(xxhash.xxh3_128_digest(s.tobytes()) for s in sets), np.int64).reshape(-1, 2)
-            keys = hashed_bands(sketches(sets, sketch), sketch.rows)
-            ends = np.arange(len(sets) + 1) * keys.shape[1]
-            yield pa.RecordBatch.from_arrays([batch.column(0), int64([len(s) for s in sets]), int64(prints[:, 0]), int64(prints[:, 1]), binaries(keys.reshape(-1), ends)], ["doc_id", "n_shingles", "f1", "f2", "keys"])
+            registers = sketches(sets, sketch)
+            ends = np.arange(len(sets) + 1) * sketch.registers
+            yield pa.RecordBatch.from_arrays([batch.column(0), int64([len(s) for s in sets]), int64(prints[:, 0]), int64(prints[:, 1]), binaries(registers.reshape(-1), ends)], ["doc_id", "n_shingles", "f1", "f2", "signature"])
 
-    seen = work.save(docs.mapInArrow(profile, "doc_id long, n_shingles long, f1 long, f2 long, keys binary"), "profile")
+    def banded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                keys = hashed_bands(np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint16).reshape(batch.num_rows, -1), sketch.rows)
+                yield pa.RecordBatch.from_arrays([batch.column(0), binaries(keys.reshape(-1), np.arange(len(keys) + 1) * keys.shape[1])], ["id", "keys"])
+
+    seen = work.save(docs.mapInArrow(profile, "doc_id long, n_shingles long, f1 long, f2 long, signature binary"), "profile")
     whole = ["n_shingles", "f1", "f2"]
     same = work.save(seen.where("n_shingles > 0 and doc_id is not null").groupBy(*whole).agg(F.min("doc_id").alias("id")), "same")
-    firsts = work.save(seen.join(same.withColumnRenamed("id", "doc_id"), [*whole, "doc_id"], "left_semi").select(F.col("doc_id").alias("id"), "keys"), "firsts")
+    firsts = work.save(seen.join(same.withColumnRenamed("id", "doc_id"), [*whole, "doc_id"], "left_semi").select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), "signature"), "firsts")
 
     def fetch(placed: DataFrame) -> DataFrame:
-        return placed.hint("merge").join(docs.withColumnRenamed("doc_id", "id"), "id").select("id", "grp", "nb", "blk", "text")
+        return placed.hint("merge").join(docs.withColumnRenamed("doc_id", "id"), "id").select("id", "grp", "part", "code", "text")
 
-    def measure(found: list[bytes]) -> tuple:
-        sets = shingle_sets(found, sketch.words, _Words())
-        return sets, sketches(sets, sketch)
+    def measure(found: list[bytes]) -> list[np.ndarray]:
+        return shingle_sets(found, sketch.words, _Words())
 
     num, den = sketch.threshold
     screen = likely_jaccard(sketch.base, num / den, sketch.lost)
-    near = near_components(spark, work, firsts, firsts.count(), sketch.registers // sketch.rows, fetch, measure, screen, sketch.threshold, sketch.block)
+    near = near_components(spark, work, firsts.select("id", "signature").mapInArrow(banded, "id long, keys binary"), firsts.count(), sketch.registers // sketch.rows, fetch, measure, sketch.threshold, firsts, screen, sketch.block)
     # Rows of one doc_id with different sets belong to several classes, which that document joins.
     own = seen.where("n_shingles > 0 and doc_id is not null").select("doc_id", F.struct(*whole).alias("class"))
     several = own.groupBy("doc_id").agg(F.min("class").alias("a"), F.max("class").alias("b")).where("a <> b").select("doc_id")

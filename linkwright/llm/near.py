@@ -1,9 +1,10 @@
-"""Near-duplicate groups of any items that have a set of 64-bit hashes and a signature.
+"""Near-duplicate groups of any items that have a set of 64-bit hashes.
 
-Band keys find rough groups; inside them pairs are screened on the signatures and confirmed on the
-full sets. No step lists the pairs of a group: rough groups are dealt out in blocks, each block is
-compared with itself and with one pivot block, and only what those links leave apart is compared
-across blocks. Every link between items of one rough group is thereby either found or implied.
+Band keys give candidates: items with an equal key. Of each key's items only a star of pairs is listed, so
+candidates are linear in the items however large a key's group is; pairs are screened on what may be known
+of the sets beforehand and confirmed on the full sets. Where confirmed links leave a key's items apart, and
+only there, the others are compared with all of that key's items, a block with a block. Every link between
+items of an equal key is thereby found or implied by other links.
 """
 
 from __future__ import annotations
@@ -21,31 +22,27 @@ from .components import connected
 
 #: Items whose keys one map task combines before it passes them on, and keys that one reducing task sorts.
 CHUNK, REDUCE = 1 << 15, 1 << 20
-#: Pairs that are confirmed without a screen.
-FEW = 3
-#: Items of a rough group that one block holds.
-BLOCK = 160
+#: Items that one block holds.
+BLOCK = 64
 
 
 def _least(keys: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of equal keys the smallest id: (distinct keys, that id, edges of the others to it)."""
+    """Of equal keys the smallest id: (distinct keys, that id, (key, id, smallest id) of the others)."""
     order = np.argsort(keys, kind="stable")
     keys, ids = keys[order], ids[order]
     starts = np.concatenate([[0], np.nonzero(keys[1:] != keys[:-1])[0] + 1])
     least = np.minimum.reduceat(ids, starts)
     to = np.repeat(least, np.diff(np.concatenate([starts, [len(keys)]])))
     other = ids != to
-    edges = np.unique(np.stack([ids[other], to[other]], 1), axis=0)
-    return keys[starts], least, edges
+    return keys[starts], least, np.stack([keys[other].view(np.int64), ids[other], to[other]], 1)
 
 
 def band_edges(spark: SparkSession, items: DataFrame, total: int, bands: int) -> DataFrame:
-    """items: id, keys (binary of `bands` uint64); total: about how many. Edges (a, b) that join all
-    items with an equal key.
+    """items: id, keys (binary of `bands` uint64); total: about how many. Edges (key, a, b) that join all
+    items with an equal key: those of a map task's chunk with its smallest, and those with the smallest.
 
     Map tasks combine equal keys first, so a key that a third of all items share reaches its reducer
-    once from each chunk, and packed runs of 32-bit keys and ids travel rather than a row for each. Two
-    keys of a reducer that agree in 32 bits only make one rough group of two; pairs are confirmed later.
+    once from each chunk, and packed runs of keys and ids travel rather than a row for each.
     """
     buckets = max(partitions(spark), -(-total * bands // REDUCE))
 
@@ -55,14 +52,13 @@ def band_edges(spark: SparkSession, items: DataFrame, total: int, bands: int) ->
             k, least, edges = _least(np.concatenate(keys), i)
             part = (k % np.uint64(buckets)).astype(np.int64)
             order = np.argsort(part, kind="stable")
-            part, least = part[order], least[order]
-            short = (k[order] >> np.uint64(32)).astype(np.uint32)
+            part, least, k = part[order], least[order], k[order]
             starts = np.concatenate([[0], np.nonzero(part[1:] != part[:-1])[0] + 1, [len(part)]])
-            # The chunk's own edges ride along as one more run, to any reducer.
-            ends, parts = np.append(starts, len(part)), np.append(part[starts[:-1]], int(k[0] % np.uint64(buckets)))
-            own = np.zeros(len(ends), np.int64)
-            own[-1] = edges.size
-            return pa.RecordBatch.from_arrays([int64(parts), binaries(short, ends), binaries(least, ends), binaries(edges.reshape(-1), own)], ["part", "keys", "ids", "edges"])
+            # The chunk's own edges ride along with their keys' parts.
+            of = (edges[:, 0].view(np.uint64) % np.uint64(buckets)).astype(np.int64)
+            edges = edges[np.argsort(of, kind="stable")]
+            own = np.searchsorted(np.sort(of), np.append(part[starts[:-1]], buckets)) * 3
+            return pa.RecordBatch.from_arrays([int64(part[starts[:-1]]), binaries(k, starts), binaries(least, starts), binaries(edges.reshape(-1), own)], ["part", "keys", "ids", "edges"])
 
         ids, keys, n = [], [], 0
         for b in batches:
@@ -78,15 +74,12 @@ def band_edges(spark: SparkSession, items: DataFrame, total: int, bands: int) ->
             yield flush(ids, keys)
 
     def reduce(group: pa.Table) -> Iterator[pa.RecordBatch]:
-        keys, ids, edges = (np.frombuffer(b"".join(group.column(c).to_pylist()), kind) for c, kind in (("keys", np.uint32), ("ids", np.int64), ("edges", np.int64)))
-        found = [edges.reshape(-1, 2)]
-        if len(keys):
-            found.append(_least(keys, ids)[2])
-        both = np.concatenate(found)
-        yield pa.RecordBatch.from_arrays([int64(both[:, 0]), int64(both[:, 1])], ["a", "b"])
+        keys, ids, edges = (np.frombuffer(b"".join(group.column(c).to_pylist()), kind) for c, kind in (("keys", np.uint64), ("ids", np.int64), ("edges", np.int64)))
+        both = np.concatenate([edges.reshape(-1, 3), _least(keys, ids)[2]])
+        yield pa.RecordBatch.from_arrays([int64(both[:, k]) for k in range(3)], ["key", "a", "b"])
 
     sent = items.select("id", "keys").mapInArrow(forward, "part long, keys binary, ids binary, edges binary")
-    return by_group(sent, ["part"], reduce, "a long, b long")
+    return by_group(sent, ["part"], reduce, "key long, a long, b long")
 
 
 class _Forest:
@@ -100,33 +93,21 @@ class _Forest:
         return x
 
 
-def links_within(ids, sizes, signatures, sets, apart, screen, threshold: tuple[int, int]) -> list[tuple[int, int]]:
-    """Confirmed links that join what belongs together among these items.
-
-    apart(i, j): of index arrays, which pairs are to be compared at all. Pairs go from the most to the
-    least likely; one that the links so far already join needs no confirmation.
-    """
+def links_within(ids, sets, apart, threshold: tuple[int, int]) -> list[tuple[int, int]]:
+    """Confirmed links that join what belongs together among these items. apart(i, j): of index arrays,
+    which pairs are to be compared at all; one that the links so far already join needs no confirmation."""
     num, den = threshold
-    n = len(ids)
-    i, j = np.triu_indices(n, 1) if n > 2 else (np.array([0]), np.array([1]))
+    sizes = np.array([len(x) for x in sets], np.int64)
+    i, j = np.triu_indices(len(ids), 1)
     small, large = np.minimum(sizes[i], sizes[j]), np.maximum(sizes[i], sizes[j])
     keep = (den * small >= num * large) & apart(i, j) & (ids[i] != ids[j])
-    i, j = i[keep], j[keep]
-    if not len(i):
-        return []
-    if len(i) > FEW:
-        likely, order_by = screen(signatures, sizes, i, j)
-        order = np.argsort(-order_by[likely], kind="stable")
-        i, j = i[likely][order], j[likely][order]
-    forest, out = _Forest(n), []
-    for a, b in zip(i.tolist(), j.tolist(), strict=True):
+    forest, out = _Forest(len(ids)), []
+    for a, b in zip(i[keep].tolist(), j[keep].tolist(), strict=True):
         ra, rb = forest.find(a), forest.find(b)
         if ra == rb:
             continue
-        x, y = sets[a], sets[b]
-        both = np.concatenate([x, y])
-        both.sort()
-        common = int(np.count_nonzero(both[1:] == both[:-1]))
+        x, y = (sets[a], sets[b]) if len(sets[a]) < len(sets[b]) else (sets[b], sets[a])
+        common = int(np.count_nonzero(y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x)) if len(y) else 0
         if den * common >= num * (len(x) + len(y) - common):
             forest.up[rb] = ra
             out.append((int(ids[a]), int(ids[b])))
@@ -139,121 +120,130 @@ def _rows(found: list[tuple[int, int]]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([int64(x[:, 0]), int64(x[:, 1])], ["a", "b"])
 
 
-def _once(ids: np.ndarray, *more: np.ndarray) -> np.ndarray:
-    """Where each item is first, for rows may be repeated."""
-    return np.sort(np.unique(np.stack([ids, *(x.astype(np.int64) for x in more)]), axis=1, return_index=True)[1])
+def screened(pairs: DataFrame, known: DataFrame, screen) -> DataFrame:
+    """The pairs (a, b) that may link by what is known (id, n, signature) of both."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                n = [batch.column(c).to_numpy() for c in (2, 4)]
+                signatures = [np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint16).reshape(batch.num_rows, -1) for c in (3, 5)]
+                yield batch.select(["a", "b"]).filter(pa.array(screen(*signatures, *n)))
 
+    a, b = (known.select(F.col("id").alias(x), F.col("n").alias(f"n_{x}"), F.col("signature").alias(f"s_{x}")) for x in "ab")
+    return pairs.join(a, "a").join(b, "b").select("a", "b", "n_a", "s_a", "n_b", "s_b").mapInArrow(run, "a long, b long")
 
-def near_components(spark: SparkSession, work: Work, items: DataFrame, total: int, bands: int, fetch: Callable[[DataFrame], DataFrame], measure, screen, threshold: tuple[int, int], block: int = BLOCK) -> DataFrame:
+
+def near_components(spark: SparkSession, work: Work, items: DataFrame, total: int, bands: int, fetch: Callable[[DataFrame], DataFrame], measure, threshold: tuple[int, int], known: DataFrame | None = None, screen=None, block: int = BLOCK) -> DataFrame:
     """items: id, keys; total: about how many. Returns (id, comp) of the items that link with another;
     comp is the smallest id.
 
-    fetch(placed) takes (id, grp, nb, blk) and returns (id, grp, nb, blk, text); it may name items anew.
-    measure(texts) returns the sets of sorted distinct 64-bit hashes and the signatures.
-    screen(signatures, sizes, i, j) returns which pairs may link and how likely they are.
+    fetch(placed) takes (id, grp, part, code) and returns the same with text, for each text of the id;
+    measure(texts) returns the sets of sorted distinct 64-bit hashes. known: id, n, signature (once or
+    more for each id), by which screen(signatures, sizes of a and of b) tells the pairs that may link.
     """
-    rough = work.save(connected(work, band_edges(spark, items, total, bands), "rough"), "rough")
-    counts = work.save(rough.groupBy("comp").agg(F.count("*").alias("cnt")).withColumn("nb", F.ceil(F.col("cnt") / block)), "counts")
-    placed = rough.join(counts, "comp").select("id", F.col("comp").alias("grp"), "nb", F.pmod(F.xxhash64("id"), "nb").alias("blk"))
-    held = work.save(fetch(work.save(placed, "placed")), "held")
+    edges = work.save(band_edges(spark, items, total, bands), "edges")
 
     def prepare(batch: pa.RecordBatch) -> tuple:
-        made = [measure(part) for _, part in pieces(texts(batch.column(batch.schema.get_field_index("text"))))]
-        return [x for sets, _ in made for x in sets], np.concatenate([signatures for _, signatures in made])
-
-    def items_of(group: pa.Table, parts: list[tuple], *more: str) -> tuple:
-        """The group's rows without repeated ones: (rows' columns, (ids, sizes, signatures, sets))."""
-        sets = [x for p in parts for x in p[0]]
-        signatures = np.concatenate([p[1] for p in parts]) if len(parts) > 1 else parts[0][1]
-        columns = {c: group.column(c).to_numpy(zero_copy_only=False) for c in ("id", *more)}
-        if len(np.unique(columns["id"])) == len(sets):
-            return columns, (columns["id"], np.array([len(x) for x in sets], np.int64), signatures, sets)
-        # One id may have rows of different texts: those are items of their own.
-        prints = np.array([xxhash.xxh3_64_intdigest(x.tobytes()) for x in sets], np.uint64).view(np.int64)
-        at = _once(columns["id"], prints, *(columns[c] for c in more[:1]))
-        if len(at) < len(sets):
-            sets, signatures = [sets[k] for k in at], signatures[at]
-            columns = {c: x[at] for c, x in columns.items()}
-        return columns, (columns["id"], np.array([len(x) for x in sets], np.int64), signatures, sets)
-
-    def within(group: pa.Table, parts: list[tuple]) -> Iterator[pa.RecordBatch]:
-        if group.num_rows < 2:
-            return
-        columns, items = items_of(group, parts, "blk")
-        pivot = (columns["blk"] == 0) & (group.column("task")[0].as_py() != 0)
-        if len(pivot) > 1:
-            yield from _rows(links_within(*items, lambda i, j: ~(pivot[i] & pivot[j]), screen, threshold))
-
-    tasks = F.when(F.col("blk") == 0, F.sequence(F.lit(0).cast("long"), F.col("nb") - 1)).otherwise(F.array("blk"))
-    first = work.save(by_group(held.withColumn("task", F.explode(tasks)), ["grp", "task"], within, "a long, b long", prepare), "links")
-    joined = work.save(connected(work, first, "first"), "joined")
-
-    # What several blocks leave apart: all but the largest component of a rough group against the whole group.
-    wide = work.save(held.where("nb > 1").select("id", "grp").join(joined, "id", "left").select("id", "grp", F.coalesce("comp", "id").alias("label")), "wide")
-    parts = work.save(wide.groupBy("grp", "label").agg(F.count("*").alias("c")), "parts")
-    largest = parts.groupBy("grp").agg(F.max(F.struct("c", F.col("label"))).alias("top"), F.sum("c").alias("all"))
-    left = work.save(largest.where("all > top.c").select("grp", F.col("top.label").alias("top"), F.ceil((F.col("all") - F.col("top.c")) / block).alias("nq")), "left")
-    if left.isEmpty():
-        return joined
-    marked = work.save(wide.join(left, "grp").select("id", "label", "nq", (F.col("label") != F.col("top")).alias("asks")), "marked")
-    marked = held.where("nb > 1").join(marked, "id")
-    base = marked.withColumn("q", F.explode(F.sequence(F.lit(0).cast("long"), F.col("nq") - 1))).withColumn("asks", F.lit(False))
-    asking = marked.where("asks").withColumn("q", F.pmod(F.xxhash64("id", F.lit(1)), "nq")).withColumn("blk", F.explode(F.sequence(F.lit(0).cast("long"), F.col("nb") - 1)))
-
-    def across(group: pa.Table, parts: list[tuple]) -> Iterator[pa.RecordBatch]:
-        columns, items = items_of(group, parts, "asks", "label")
-        asks, label = columns["asks"].astype(bool), columns["label"]
-        if asks.any() and not asks.all():
-            yield from _rows(links_within(*items, lambda i, j: (asks[i] != asks[j]) & (label[i] != label[j]), screen, threshold))
-
-    rest = by_group(base.unionByName(asking), ["grp", "blk", "q"], across, "a long, b long", prepare)
-    stars = joined.where("id <> comp").select(F.col("id").alias("a"), F.col("comp").alias("b"))
-    return work.save(connected(work, work.save(rest, "links-across").unionByName(stars), "second"), "final")
+        found = texts(batch.column(batch.schema.get_field_index("text")))
+        return ([x for _, part in pieces(found) for x in measure(part)],)
+
+    def linked(placed: DataFrame, apart) -> DataFrame:
+        """Links between the items of each (grp, part) that apart tells, by their codes, to compare."""
+
+        def run(group: pa.Table, parts: list[tuple]) -> Iterator[pa.RecordBatch]:
+            sets = [x for p in parts for x in p[0]]
+            if len(sets) < 2:
+                return
+            ids, codes = (group.column(c).to_numpy() for c in ("id", "code"))
+            # Rows may be repeated; one id may have rows of different texts, which are items of their own.
+            prints = np.array([xxhash.xxh3_64_intdigest(x.tobytes()) for x in sets], np.uint64).view(np.int64)
+            at = np.sort(np.unique(np.stack([ids, codes, prints]), axis=1, return_index=True)[1])
+            ids, codes, sets = ids[at], codes[at], [sets[k] for k in at]
+            yield from _rows(links_within(ids, sets, lambda i, j: apart(codes[i], codes[j]), threshold))
+
+        held = fetch(placed.select("id", "grp", "part", "code"))
+        return by_group(held, ["grp", "part"], run, "a long, b long", prepare)
+
+    def confirmed(pairs: DataFrame, name: str) -> DataFrame:
+        """Those of the pairs (a, b) that link: each b with its a's, a block of them at a time."""
+        pairs = work.save(pairs if screen is None else screened(pairs, known, screen), f"{name}-pairs")
+        wide = pairs.groupBy("b").agg(F.ceil(F.count("*") / block).alias("nb"))
+        dealt = work.save(pairs.join(wide, "b").select("a", "b", F.pmod(F.xxhash64("a"), "nb").alias("part")), f"{name}-dealt")
+        placed = dealt.select(F.col("a").alias("id"), F.col("b").alias("grp"), "part", F.lit(0).cast("long").alias("code"))
+        centres = dealt.select(F.col("b").alias("id"), F.col("b").alias("grp"), "part", F.lit(1).cast("long").alias("code")).distinct()
+        return work.save(linked(placed.unionByName(centres), lambda x, y: x != y), f"{name}-links")
+
+    def labelled(links: DataFrame, name: str) -> DataFrame:
+        return work.save(connected(work, links, name), f"{name}-comp")
+
+    def apart(pairs: DataFrame, comp: DataFrame) -> DataFrame:
+        """pairs with label_a and label_b, their components so far."""
+        for x in "ab":
+            pairs = pairs.join(comp.select(F.col("id").alias(x), F.col("comp").alias(f"label_{x}")), x, "left").withColumn(f"label_{x}", F.coalesce(f"label_{x}", x))
+        return pairs
+
+    # One pair of each item first, so that most others join what is joined already.
+    first = work.save(edges.groupBy("a").agg(F.min("b").alias("b")), "first")
+    links = confirmed(first, "first")
+    comp = labelled(links, "first")
+    rest = apart(edges.select("a", "b").distinct(), comp).where("label_a <> label_b").select("a", "b").join(first, ["a", "b"], "left_anti")
+    links = links.unionByName(confirmed(rest, "rest"))
+    comp = labelled(links, "rest")
+
+    # Keys of more than two items that are still apart: all their items, those outside the largest component asking.
+    open_ = apart(edges, comp).groupBy("key").agg(F.count("*").alias("n"), F.max(F.col("label_a") != F.col("label_b")).alias("apart")).where("apart and n > 1").select("key")
+    members = edges.join(open_, "key").select("key", F.explode(F.array("a", "b")).alias("id")).distinct()
+    members = members.join(comp, "id", "left").select("key", "id", F.coalesce("comp", "id").alias("label"))
+    members = work.save(members, "members")
+    if members.isEmpty():
+        return comp
+    sizes = members.groupBy("key", "label").agg(F.count("*").alias("c"))
+    sizes = sizes.groupBy("key").agg(F.max(F.struct("c", "label")).alias("top"), F.sum("c").alias("all"))
+    sizes = work.save(sizes.select("key", "all", F.col("top.label").alias("top"), (F.col("all") - F.col("top.c")).alias("others")), "sizes")
+    # Small keys whole, the same items of several keys once.
+    small = members.join(sizes.where(F.col("all") <= block), "key").groupBy("key").agg(F.array_sort(F.collect_list(F.struct("id", "label"))).alias("l"))
+    small = small.select("l").distinct().select(F.xxhash64("l").alias("grp"), F.explode("l").alias("x")).select("x.id", "grp", F.lit(0).cast("long").alias("part"), F.col("x.label").alias("code"))
+    links = links.unionByName(work.save(linked(small, lambda x, y: x != y), "small-links"))
+    large = members.join(sizes.where(F.col("all") > block), "key").withColumn("asks", F.col("label") != F.col("top"))
+    large = large.withColumns({"nq": F.ceil(F.col("others") / block), "nb": F.ceil(F.col("all") / block)})
+    large = work.save(large, "large")
+    if not large.isEmpty():
+        # Each block of what asks meets each block of the key; a code is a label's hash and, in its last bit, whether it asks.
+        base = large.withColumn("asks", F.lit(False)).withColumn("q", F.explode(F.sequence(F.lit(0).cast("long"), F.col("nq") - 1))).withColumn("p", F.pmod(F.xxhash64("id"), "nb"))
+        asking = large.where("asks").withColumn("q", F.pmod(F.xxhash64("id", F.lit(1)), "nq")).withColumn("p", F.explode(F.sequence(F.lit(0).cast("long"), F.col("nb") - 1)))
+        code = F.xxhash64("label").bitwiseAND(-2).bitwiseOR(F.col("asks").cast("long"))
+        grid = base.unionByName(asking).select("id", F.col("key").alias("grp"), (F.col("q") * F.col("nb") + F.col("p")).alias("part"), code.alias("code"))
+        links = links.unionByName(work.save(linked(grid, lambda x, y: (x & 1 != y & 1) & (x >> 1 != y >> 1)), "large-links"))
+    return labelled(links, "all")
 
 
 def likely_jaccard(base: float, least: float, lost: float):
     """A screen on SetSketch registers: drops a pair when, given both sizes and how many registers are
     larger, smaller and equal, every Jaccard similarity of at least `least` is less likely by `lost`
-    nats than the maximum likelihood estimate. The estimate orders the rest."""
+    nats than the maximum likelihood estimate."""
     grid = np.concatenate([np.linspace(0.0, 0.98, 50), [0.99, 0.995, 1.0]])
 
     def p(x: np.ndarray) -> np.ndarray:
         return -np.log1p(-np.clip(x, 0, 1) * (base - 1) / base) / np.log(base)
 
-    def screen(signatures, sizes, i, j):
-        more, less = np.empty(len(i), np.int32), np.empty(len(i), np.int32)
-        for at in range(0, len(i), 1 << 14):
-            x, y = signatures[i[at : at + (1 << 14)]], signatures[j[at : at + (1 << 14)]]
-            more[at : at + (1 << 14)], less[at : at + (1 << 14)] = (x > y).sum(1), (x < y).sum(1)
-        same = signatures.shape[1] - more - less
-        u = sizes[i] / (sizes[i] + sizes[j])
+    def screen(x, y, n_x, n_y):
+        more, less = (x > y).sum(1), (x < y).sum(1)
+        same = x.shape[1] - more - less
+        u = n_x / (n_x + n_y)
         v = 1 - u
-        top = np.full(len(i), -np.inf)
-        top_link, best = top.copy(), np.zeros(len(i))
+        top = np.full(len(x), -np.inf)
+        top_link = top.copy()
         limit = np.minimum(u / v, v / u)
         for s in grid:
             ok = s <= limit + 1e-9
             a, b = p(u - v * s), p(v - u * s)
             e = 1e-6
             fit = more * np.log(np.maximum(a, e)) + less * np.log(np.maximum(b, e)) + same * np.log(np.maximum(1 - a - b, e))
-            fit = np.where(ok, fit, -np.inf)
-            best = np.where(fit > top, s, best)
-            top = np.maximum(top, fit)
+            top = np.maximum(top, np.where(ok, fit, -np.inf))
             if s >= least - 0.011:
-                top_link = np.maximum(top_link, fit)
-        return top_link >= top - lost, best
-
-    return screen
-
-
-def likely_equal(least: float):
-    """A screen on minima: drops a pair with fewer than `least` of its signature equal."""
-
-    def screen(signatures, sizes, i, j):
-        same = np.empty(len(i), np.float32)
-        for at in range(0, len(i), 1 << 14):
-            same[at : at + (1 << 14)] = (signatures[i[at : at + (1 << 14)]] == signatures[j[at : at + (1 << 14)]]).mean(1)
-        return same >= least, same
+                top_link = np.maximum(top_link, np.where(ok, fit, -np.inf))
+        return top_link >= top - lost
 
     return screen
 
