@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import table
@@ -20,10 +20,15 @@ NOTICES = (
     ("MIT", "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."),
     ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:"),
     ("BSD-3-Clause", "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."),
+    ("BSD-2-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:"),
     ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."),
     ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
     ("GPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
     ("GPL-2.0", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version."),
+    ("LGPL-2.1", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version."),
+    ("AGPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
+    ("EPL-2.0", "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0/"),
+    ("CC0-1.0", "To the extent possible under law, the author(s) have dedicated all copyright and related and neighboring rights to this software to the public domain worldwide. This software is distributed without any warranty."),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."),
     ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
     ("CC-BY-SA-4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
@@ -62,6 +67,23 @@ def _notice_rows(notices, config: Licenses) -> list[tuple]:
     return out
 
 
+def key_words(rows: list[tuple]) -> list[str]:
+    """Words of which any text that matches a notice has one: enough of each notice's bigrams hold one that
+    the others alone are fewer than a match needs. Of words that are left the longest come first, as
+    the likeliest to be rare."""
+    notices: dict[int, tuple[int, set[str]]] = {}
+    for notice, _, _, least, _, bigram, *_ in rows:
+        notices.setdefault(notice, (least, set()))[1].add(bigram)
+    out: list[str] = []
+    for word in sorted({w for r in rows for w in r[5].split(" ")}, key=lambda w: (-len(w), w)):
+        short = [b for least, b in notices.values() if len(b) >= least]
+        if any(word in x.split(" ") for b in short for x in b):
+            out.append(word)
+            for _, b in notices.values():
+                b -= {x for x in b if word in x.split(" ")}
+    return out
+
+
 def scan(spark: SparkSession, docs: DataFrame, notices=NOTICES, config: Licenses = Licenses()) -> DataFrame:
     """docs: doc_id (long), text. One row per document and licence found: doc_id, license, dice (of its
     best unit, or window if no unit matches), n_units (units that match a notice of it, 0 if only
@@ -72,9 +94,13 @@ def scan(spark: SparkSession, docs: DataFrame, notices=NOTICES, config: Licenses
     by sets of word bigrams (a single word stands for itself). A notice is a candidate only for units
     whose number of bigrams its size allows. A notice inside a larger unit, be it wrapped, unwrapped or
     in a comment, is found by windows of as many words as it has over the words of the whole text; a
-    window's bigrams that are not the notice's count each time. The notices' bigrams are a parameter's
-    size, so they are broadcast. Nulls: a null or empty text matches nothing; a null doc_id is kept as it
-    is. Repeated rows each give their own. No documents or notices give no rows. Other columns are ignored.
+    window's bigrams that are not the notice's count each time. Of the licences that one unit matches, or
+    windows whose middles are closer than the shortest notice is long, only those with the highest
+    coefficient count, all of them if tied. The notices' bigrams are a parameter's size, so they are
+    broadcast; texts without a word that every match needs go no further. Nulls: a null or empty text
+    matches nothing; a null doc_id is kept as it is. Repeated rows each give their own. Very long texts
+    are one row until their bigrams are. No documents or notices give no rows. Other columns are ignored,
+    whatever their names.
     """
     num, den = config.threshold
     rows = [(*r, max(len(_words(notices[r[0]][1])) - 1, 1)) for r in _notice_rows(notices, config)]
@@ -83,6 +109,8 @@ def scan(spark: SparkSession, docs: DataFrame, notices=NOTICES, config: Licenses
     text = F.regexp_replace(F.col("text").cast("string"), "\r\n", "\n")
     units = F.array_distinct(F.concat(F.split(text, "\n"), F.split(text, "\n[ \t]*\n"), F.array(text)))
     units = F.concat(F.transform(units, lambda u: F.struct(u.alias("text"), F.lit(False).alias("wide"))), F.array(F.struct(text.alias("text"), F.lit(True).alias("wide"))))
+    needed = F.array(*map(F.lit, key_words(rows))).cast("array<string>")
+    docs = docs.where(F.arrays_overlap(F.split(F.regexp_replace(F.lower(F.col("text").cast("string")), "[^a-z0-9]+", " "), " "), needed))
     docs = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), units.alias("units"))
     docs = docs.select("row", "doc_id", F.explode("units").alias("unit"))
     plain = F.trim(F.regexp_replace(F.lower("unit.text"), "[^a-z0-9]+", " "))
@@ -103,16 +131,20 @@ def scan(spark: SparkSession, docs: DataFrame, notices=NOTICES, config: Licenses
     both = both.where("not wide or common >= least").where("not wide or size(array_distinct(hits.bigram)) >= least")
 
     def window(start) -> Column:
-        """The Dice coefficient of the window that begins with this hit, null below the threshold."""
+        """The Dice coefficient, null below the threshold, and twice the middle of the window that begins with this hit."""
         pos = start["pos"]
         inside = F.filter("hits", lambda h: (h["pos"] >= pos) & (h["pos"] < pos + F.col("length")))
         common = F.size(F.array_distinct(F.transform(inside, lambda h: h["bigram"])))
         total = common + F.least("length", F.col("n") - pos) - F.size(inside) + F.col("size")
-        return F.when(2 * den * common >= num * total, F.round(2.0 * common / total, 6))
+        return F.struct(F.when(2 * den * common >= num * total, F.round(2.0 * common / total, 6)).alias("dice"), (2 * pos + F.col("length")).cast("long").alias("middle"))
 
     begins = F.filter("hits", lambda h: F.floor(h["pos"] / F.col("length")) == F.col("at"))
     own = F.when(2 * den * F.col("common") >= num * (F.col("n") + F.col("size")), F.round(2.0 * F.col("common") / (F.col("n") + F.col("size")), 6))
-    found = both.withColumn("dice", F.when(F.col("wide"), F.array_max(F.transform(begins, window))).otherwise(own)).where("dice is not null")
+    alone = F.struct(own.alias("dice"), F.lit(0).cast("long").alias("middle"))
+    found = both.withColumn("m", F.when(F.col("wide"), F.array_max(F.transform(begins, window))).otherwise(alone)).where("m.dice is not null")
+    reach = 2 * min((r[6] for r in rows), default=0)
+    here = Window.partitionBy("row", "wide", "unit").orderBy("m.middle").rangeBetween(-reach, reach)
+    found = found.withColumn("dice", F.col("m.dice")).withColumn("top", F.max("dice").over(here)).where("dice = top")
     of_units = F.when(~F.col("wide"), F.col("dice"))
     out = found.groupBy("row", "doc_id", "license").agg(F.coalesce(F.max(of_units), F.max("dice")).alias("dice"), F.count_distinct(F.when(~F.col("wide"), F.col("unit"))).alias("n_units"))
     return out.drop("row")
@@ -132,6 +164,7 @@ u AS (SELECT r, doc_id, unnest(list_distinct(list_concat(list_concat(string_spli
 w AS (SELECT r, doc_id, row_number() OVER () AS k, string_split(trim(regexp_replace(lower(unit), '[^a-z0-9]+', ' ', 'g')), ' ') AS w FROM u),
 b AS (SELECT r, doc_id, k, CASE WHEN len(w) > 1 THEN list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) ELSE w END AS b FROM w),
 e AS (SELECT r, doc_id, k, len(b) AS n, unnest(b) AS bigram FROM b),
-c AS (SELECT r, doc_id, k, n, notice, license, size, count(*) AS common FROM e JOIN idx USING (bigram) GROUP BY ALL)
-SELECT doc_id, license, max(round(2.0 * common / (n + size), 6)) AS dice, count(DISTINCT k) AS n_units
-FROM c WHERE 2 * {den} * common >= {num} * (n + size) GROUP BY r, doc_id, license"""
+c AS (SELECT r, doc_id, k, n, notice, license, size, count(*) AS common FROM e JOIN idx USING (bigram) GROUP BY ALL),
+m AS (SELECT r, doc_id, k, license, round(2.0 * common / (n + size), 6) AS dice FROM c WHERE 2 * {den} * common >= {num} * (n + size)),
+t AS (SELECT *, max(dice) OVER (PARTITION BY k) AS top FROM m)
+SELECT doc_id, license, max(dice) AS dice, count(DISTINCT k) AS n_units FROM t WHERE dice = top GROUP BY r, doc_id, license"""
