@@ -22,7 +22,7 @@ _WORD_BYTES = bytes(x + 32 if 65 <= x <= 90 else x if 48 <= x <= 57 or 97 <= x <
 class Match:
     """window: consecutive item words that make a hit. block: words of one stored index block. chunk:
     windows that are sent to the tasks at once; a larger benchmark is searched chunk after chunk.
-    slop: when given, also report where all of a window's words lie within window + slop words."""
+    slop: when given, also report where all of a window's words lie within slop words more than it has."""
 
     window: int = 10
     block: int = 1 << 19
@@ -120,21 +120,35 @@ def _phrases(lookup, low, high, rank, lengths) -> tuple[np.ndarray, np.ndarray]:
     return window, start
 
 
-def _nearby(lookup, low, high, rank, lengths, span: int) -> tuple[np.ndarray, np.ndarray]:
-    """Proximity matches as (window, start): all words of the window within `span` words from start,
-    start being a place of its rarest word or up to span before it, whichever holds them first."""
-    found_w, found_s = [], []
-    for i in range(len(lengths)):
-        k = lengths[i]
-        lists = [lookup[low[i, j] : high[i, j]] & 0xFFFFFFFF for j in range(k)]
-        anchors = min(lists, key=len)
-        starts = np.unique(np.concatenate([x[(np.searchsorted(anchors, x + span) > np.searchsorted(anchors, x))] for x in lists]))
-        ok = np.ones(len(starts), bool)
-        for x in lists:
-            ok &= np.searchsorted(x, starts + span) > np.searchsorted(x, starts)
-        found_w.append(np.full(ok.sum(), i))
-        found_s.append(starts[ok])
-    return (np.concatenate(found_w), np.concatenate(found_s)) if found_w else (np.empty(0, np.int64), np.empty(0, np.int64))
+def _nearby(lookup, low, high, rank, lengths, slop: int) -> np.ndarray:
+    """Proximity matches as sorted rows (window, start): all words of the window within as many words from
+    start, the place of one of them, as it has, and slop. From the rarest word's places on, those are left that have each
+    other word less than that away; only around them are starts tried."""
+    width, spans = rank.shape[1], lengths + slop
+    counts = np.where(np.arange(width)[None, :] < lengths[:, None], high - low, np.iinfo(np.int64).max)
+    by_rarity = np.argsort(counts, axis=1, kind="stable")
+    rows = np.arange(len(lengths))
+    n = counts[rows, by_rarity[:, 0]]
+    window = np.repeat(rows, n)
+    place = lookup[np.repeat(low[rows, by_rarity[:, 0]] - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())] & 0xFFFFFFFF
+    for step in range(1, width):
+        if not len(window):
+            break
+        term, span = by_rarity[window, step], spans[window]
+        least = np.maximum(place - span + 1, 0)
+        sought = (rank[window, term].astype(np.int64) << 32) + least
+        at = np.minimum(np.searchsorted(lookup, sought), len(lookup) - 1)
+        ok = ((lookup[at] >= sought) & (lookup[at] < sought - least + place + span)) | (step >= lengths[window])
+        window, place = window[ok], place[ok]
+    found = set()
+    for w, p, span in zip(window.tolist(), place.tolist(), spans[window].tolist()):
+        # The places of the window's words around this one of its rarest word, in order.
+        near = sorted({(int(x), int(r)) for r, a, b in zip(rank[w, : lengths[w]], low[w], high[w]) for x in lookup[a:b][slice(*np.searchsorted(lookup[a:b] & 0xFFFFFFFF, [p - span + 1, p + span]))] & 0xFFFFFFFF})
+        terms = len(set(rank[w, : lengths[w]].tolist()))
+        for i, (start, _) in enumerate(near):
+            if start <= p and len({r for x, r in near[i:] if x < start + span}) == terms:
+                found.add((w, start))
+    return np.array(sorted(found), np.int64).reshape(-1, 2)
 
 
 def search(index: DataFrame, windows: list[bytes], items: list[list[int]], config: Match) -> DataFrame:
@@ -170,7 +184,7 @@ def search(index: DataFrame, windows: list[bytes], items: list[list[int]], confi
                             spans.setdefault(d, []).append((first, first + int(lengths[which])))
                             found.setdefault(d, set()).update(items[which])
                         if slop is not None:
-                            w, s = _nearby(lookup, low, high, rank, lengths[use], width + slop)
+                            w, s = _nearby(lookup, low, high, rank, lengths[use], slop).T
                             for d, which in zip((np.searchsorted(starts, s, side="right") - 1).tolist(), use[w].tolist(), strict=True):
                                 near.setdefault(d, set()).update(items[which])
                 merged = [_merge(spans.get(d, [])) for d in range(len(ids))]
@@ -235,10 +249,14 @@ def decontaminate(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, co
     return by_group(found, ["block", "row"], together, found.schema.simpleString()[7:-1].replace(":", " ", 8)).select(columns)
 
 
+#: Words more than a window's that the query's proximity matches may be spread over.
+SLOP = 4
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = decontaminate(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    found = decontaminate(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), Match(slop=SLOP))
     n_hit = F.aggregate(F.zip_with("starts", "ends", lambda a, b: b - a), F.lit(0).cast("long"), lambda s, x: s + x)
-    return found.select("doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"), F.sha2(F.concat_ws(",", F.col("items").cast("array<string>")), 256).alias("items_sha256"), (F.size("items") > 0).alias("contaminated"))
+    return found.select("doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"), F.sha2(F.concat_ws(",", F.col("items").cast("array<string>")), 256).alias("items_sha256"), (F.size("items") > 0).alias("contaminated"), F.size("near_items").cast("long").alias("n_near"))
 
 
 _LOWERED = "regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
@@ -249,6 +267,15 @@ i AS (SELECT DISTINCT item_id, least(len(w), 10) AS n, unnest(list_transform(ran
 e AS (SELECT r, n, unnest(range(1, len(w) - n + 2)) AS k, w FROM d, (SELECT DISTINCT n FROM i) WHERE len(w) >= n),
 h AS (SELECT e.r, e.k, e.n, i.item_id FROM e JOIN i ON i.n = e.n AND i.g = array_to_string(e.w[e.k:e.k + e.n - 1], ' ')),
 p AS (SELECT r, count(DISTINCT q) AS n_hit FROM (SELECT r, unnest(range(k, k + n)) AS q FROM h) GROUP BY r),
-t AS (SELECT r, count(*) AS n_items, string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS l FROM (SELECT DISTINCT r, item_id FROM h) GROUP BY r)
-SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(l, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
-FROM d LEFT JOIN p USING (r) LEFT JOIN t USING (r)"""
+t AS (SELECT r, count(*) AS n_items, string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS l FROM (SELECT DISTINCT r, item_id FROM h) GROUP BY r),
+o AS (SELECT r, w, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS k FROM d),
+wi AS (SELECT DISTINCT item_id, n, list_distinct(list_sort(string_split(g, ' '))) AS s FROM i),
+wd AS (SELECT row_number() OVER () AS q, n, s FROM (SELECT DISTINCT n, s FROM wi)),
+df AS (SELECT x, count(*) AS c FROM o GROUP BY x),
+wx AS (SELECT q, n, s, unnest(s) AS x FROM wd),
+ra AS (SELECT q, n, s, arg_min(x, (coalesce(c, 0), x)) AS x FROM wx LEFT JOIN df USING (x) GROUP BY q, n, s),
+st AS (SELECT DISTINCT r, q, n, s, w, unnest(range(greatest(k - n - {SLOP} + 1, 1), k + 1)) AS k FROM o JOIN ra USING (x)),
+nw AS (SELECT DISTINCT r, q FROM st WHERE list_has_all(w[k:k + n + {SLOP} - 1], s)),
+nn AS (SELECT r, count(DISTINCT item_id) AS n_near FROM nw JOIN wd USING (q) JOIN wi ON wi.n = wd.n AND wi.s = wd.s GROUP BY r)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(l, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated, coalesce(n_near, 0) AS n_near
+FROM d LEFT JOIN p USING (r) LEFT JOIN t USING (r) LEFT JOIN nn USING (r)"""

@@ -81,6 +81,25 @@ def test_proximity(spark):
     assert got == {1: ([], [1]), 2: ([], [1]), 3: ([], [])}
 
 
+@settings(max_examples=80, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.sampled_from("abcdefg"), max_size=40), st.lists(st.lists(st.sampled_from("abcdefg"), min_size=1, max_size=4), min_size=1, max_size=4), st.integers(0, 3))
+def test_proximity_against_all_spans(words, windows, slop):
+    import numpy as np
+
+    width, vocabulary = 4, sorted(set(words))
+    windows = [w for w in windows if set(w) <= set(vocabulary)]
+    if not windows:
+        return
+    lookup = np.sort(np.array([(vocabulary.index(x) << 32) + k for k, x in enumerate(words)], np.int64))
+    ends = np.cumsum([words.count(x) for x in vocabulary])
+    lengths = np.array([len(w) for w in windows])
+    rank = np.array([[vocabulary.index(x) for x in w] + [0] * (width - len(w)) for w in windows])
+    high = ends[rank]
+    low = np.where(rank > 0, ends[rank - 1], 0)
+    want = {i for i, w in enumerate(windows) for k in range(len(words)) if set(w) <= set(words[k : k + len(w) + slop])}
+    assert set(dec._nearby(lookup, low, high, rank, lengths, slop)[:, 0].tolist()) == want
+
+
 def test_empty_tables(spark):
     none = spark.createDataFrame([], "doc_id long, text string")
     assert minhash.minhash_dedup(spark, none).collect() == []
