@@ -100,7 +100,9 @@ def classify(spark: SparkSession, docs: DataFrame, labels: DataFrame, host: Colu
     host toward the global mean, by strengths estimated from the spread between them.
     Nulls: a null or empty text has no features; null host or path is the site ''. A null or other
     label is none, several of one document are averaged. Without labels of both kinds nothing can be
-    learned: all probabilities are 1. Repeated rows are classified alike; empty input gives no rows.
+    learned: all probabilities are 1. Repeated rows are classified alike, and each counts for its site;
+    ties of evidence give equal posteriors. Texts are read whole, a very long one in some 60 bytes a word.
+    Empty input gives no rows. Other columns are ignored, whatever their names.
     """
     work = Work(spark, "quality")
     site = [F.coalesce(host.cast("string"), F.lit("")).alias("host"), F.coalesce(path.cast("string"), F.lit("")).alias("path")]

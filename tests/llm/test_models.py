@@ -159,6 +159,56 @@ def test_quality_site_posteriors(spark):
                 assert abs(1 / (1 + np.exp(-odds)) - r.p_quality) < 1e-3
 
 
+def plain_posteriors_of_sites(rows):
+    """rows: (host, path, p_document, label or None). (p_site, p_quality) of each by the moments of its sites."""
+    e = [p if y is None else y for _, _, p, y in rows]
+    mean = sum(e) / len(e)
+
+    def strength(groups):
+        """groups: lists of evidence with the mean of what they shrink toward."""
+        n = sum(len(g) for g, _ in groups)
+        q = sum(len(g) * (sum(g) / len(g) - m) ** 2 for g, m in groups)
+        noise, within = sum(m * (1 - m) for _, m in groups), sum(len(g) * m * (1 - m) for g, m in groups) / n
+        return min(max(within / max((q - noise) / n, 1e-9) - 1, 1.0), 1e6)
+
+    hosts, paths = {}, {}
+    for x, (host, path, _, _) in zip(e, rows):
+        hosts.setdefault(host, []).append(x)
+        paths.setdefault((host, path), []).append(x)
+    k = strength([(g, mean) for g in hosts.values()])
+    m_host = {h: (sum(g) + k * mean) / (len(g) + k) for h, g in hosts.items()}
+    k = strength([(g, m_host[h]) for (h, _), g in paths.items()])
+    logit = lambda p: np.log(min(max(p, 1e-6), 1 - 1e-6) / (1 - min(max(p, 1e-6), 1 - 1e-6)))
+    out = []
+    for x, (host, path, p, _) in zip(e, rows):
+        g = paths[host, path]
+        site = (sum(g) - x + k * m_host[host]) / (len(g) - 1 + k)
+        out.append((site, 1 / (1 + np.exp(-(logit(p) + logit(site) - logit(mean))))))
+    return out
+
+
+def test_quality_against_plain_posteriors(spark):
+    """The whole query: both strengths, host and path means, and the posterior, from p_document and labels."""
+    rows = quality.op3_quality_classifier(spark, SF).join(table(spark, SF, "labels").groupBy("doc_id").agg(F.avg("quality").alias("y")), "doc_id", "left").collect()
+    want = plain_posteriors_of_sites([(r.host, r.path, r.p_document, r.y) for r in rows])
+    assert len(rows) == 1000
+    for r, (site, p) in zip(rows, want):
+        assert r.p_site == pytest.approx(site, abs=1e-9) and r.p_quality == pytest.approx(p, abs=1e-9) and r.rejected == (p < 0.5)
+
+
+def test_quality_of_pages_by_url(spark):
+    """Hosts and paths of urls: a sparse path is drawn toward its host, a sparse host toward all."""
+    good, bad = "some words of ordinary prose, told one after another. " * 5, "$$$ ### buy buy buy buy buy ||| &&& " * 5
+    rows = [(i, f"http://{h}.org/{p}/{i}", good if ok else bad) for i, (h, p, ok) in enumerate([("a", "x", True)] * 30 + [("b", "x", False)] * 30 + [("b", "y", False)] * 2 + [("c", "z", True)] * 2)]
+    d = spark.createDataFrame(rows, "doc_id long, url string, text string")
+    labels = spark.createDataFrame([(i, int(t == good)) for i, _, t in rows if i % 2], "doc_id long, quality int")
+    got = quality.classify(spark, d, labels, *quality.url_site(F.col("url"))).collect()
+    site = {(r.host, r.path): r.p_site for r in got}
+    assert site["a.org", "x"] > site["c.org", "z"] > site["b.org", "y"] >= site["b.org", "x"]
+    want = plain_posteriors_of_sites([(r.host, r.path, r.p_document, float(rows[r.doc_id][2] == good) if r.doc_id % 2 else None) for r in got])
+    assert all(r.p_site == pytest.approx(w[0], abs=1e-9) for r, w in zip(got, want))
+
+
 def test_quality_edges(spark):
     d = docs(spark, EDGE)
     labels = spark.createDataFrame([(1, 0), (4, 1), (4, 1), (5, None), (None, 1), (5, 7)], "doc_id long, quality int")

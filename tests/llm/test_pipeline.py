@@ -47,3 +47,26 @@ def test_empty_documents(spark, sf):
     docs = table(spark, sf, "documents").limit(0)
     for _, stage in pipe.STAGES:
         assert stage(spark, docs, sf).collect() == []
+
+
+EDGE = [
+    (1, "the first line of a text\nand a second one that others have", "en", "a"), (2, None, "en", "a"), (3, "", None, None), (None, "the first line of a text", "en", "b"),
+    (4, "and a second one that others have", "en", "b"), (5, "a text with words of its own " * 3000, "en", "b"), (5, "another text of the same document", "en", "b"), (6, "another text of the same document", "en", "a"),
+    (7, " \n\t\n ", "de", "a"), (1, "the first line of a text\nand a second one that others have", "en", "a"),
+]
+
+
+def test_stages_on_edge_cases(spark, sf):
+    """Nulls, blank and long texts, repeated rows and ids, and columns with the operators' own names."""
+    names = "n_lines n_dropped task grp id comp keys row kept host path y e n s x text_ gone".split()
+    d = spark.createDataFrame(EDGE, "doc_id long, text string, lang string, source string").selectExpr("*", "length(text) as n_chars", *(f"'{c}!' as {c}" for c in names))
+    want = {pipe.lines: [None, 1, 1, 2, 3, 5, 5, 7], pipe.near_duplicates: [None, 1, 1, 2, 3, 4, 5, 5, 7], pipe.benchmark: [None, 1, 1, 2, 3, 4, 5, 5, 6, 7]}
+    for name, stage in pipe.STAGES[:-1]:
+        out = stage(spark, d, sf)
+        assert out.columns == d.columns, name
+        rows = out.collect()
+        assert all(r[c] == f"{c}!" for r in rows for c in names), name
+        assert None in {r.doc_id for r in rows}
+        if stage in want:
+            assert sorted((r.doc_id for r in rows), key=lambda x: x or 0) == want[stage], name
+    assert len(pipe.mixture(spark, d, sf).collect()) == len(EDGE)
