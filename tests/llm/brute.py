@@ -57,7 +57,7 @@ def op9(rows, num=80, den=100):
     plain = [lower(x).strip(" \t\n\r\v\f").encode() for _, t in sorted(rows) for x in (t or "").split("\n")]
     distinct = list(dict.fromkeys(x for x in plain if x))
     index = {x: i for i, x in enumerate(distinct)}
-    sets = [{x[i : i + 6] for i in range(max(len(x) - 5, 1))} for x in (y.decode() for y in distinct)]
+    sets = [{x[i : i + 8] for i in range(max(len(x) - 7, 1))} for x in (y.decode() for y in distinct)]
     comp = components(len(distinct), near_links(sets, num, den))
     seen, gone = set(), set()
     for place, x in zip(at, plain):

@@ -146,12 +146,12 @@ def near_copies(n, seed, words=60):
 
 
 def test_line_bands_meet_pairs_at_the_threshold():
-    """5,000 pairs of lines at Jaccard 0.804: each shares a band and passes the screen."""
+    """5,000 pairs of lines at Jaccard 0.803: each shares a band and passes the screen."""
     r, config, found = random.Random(5), lines.Lines(), []
     for _ in range(5000):
         head = "".join(r.choices("abcdefghijklmnopqrstuvwxyz", k=268))
         found += [(head + "".join(r.choices(letters, k=32))).encode() for letters in ("0123456789", "!$%&/()=?#")]
-    assert 0.8 <= 263 / 327 < 0.81 and len(set(found)) == 10_000
+    assert 0.8 <= 261 / 325 < 0.81 and len(set(found)) == 10_000
     least = lines.minima(found, config.minima)
     keys = near.hashed_bands(least, config.rows)
     assert (keys[::2] == keys[1::2]).any(axis=1).all()
@@ -159,6 +159,13 @@ def test_line_bands_meet_pairs_at_the_threshold():
     assert near.likely_equal(config.least)(least, None, *map(list, pairs))[0].all()
 
 
+def test_lines_of_other_scripts(spark):
+    """One changed character of a long line in two- and three-byte scripts; shingles are of characters."""
+    cyrillic, chinese = "строка текста которая повторяется почти без изменений " * 3, "这是一个几乎没有变化的重复的行" * 6
+    rows = [(1, cyrillic), (2, cyrillic.replace("почти", "почта", 1)), (3, chinese), (4, chinese[:40] + "小" + chinese[41:]), (5, chinese[:60]), (6, "короткая"), (7, "Короткая"), (8, "короткая")]
+    assert {r.doc_id: r.text for r in lines.line_dedup(spark, frame(spark, rows)).collect()} == brute.op9(rows)
+
+
 def test_large_group_is_split_in_blocks(spark):
     """A group of several blocks, with pairs on both sides of the threshold: components stay exact."""
     rows = near_copies(90, 1) + [(1000 + i, t) for i, t in near_copies(40, 2)]
