@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from math import comb
+from functools import reduce
+from math import comb, exp
 
-import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .decide import blended
+from .splits import in_sample
+
 
 def blocking_recall(truth: DataFrame, cand: DataFrame, ids: DataFrame, cutoffs=(5, 10, 20, 40)) -> DataFrame:
     """truth: i, j, src; cand: i, j, r_all; ids: i, country. Rows (measure, slice, value): the share of true
@@ -91,6 +94,54 @@ def threshold_grid(spark, ids: DataFrame, scores: dict[str, DataFrame], truth: D
     return out
 
 
+def threshold_sweep(spark, ids: DataFrame, scores: dict[str, DataFrame] | DataFrame, truth: DataFrame, taus: list[float], mix: dict[str, float] | None = None, modes: list[str] | None = None) -> DataFrame:
+    """Macro F0.5 of every score table (by name; or one table with a column mode of these modes) at every threshold, of ALL records, of each country and, with
+    mix, of the countries in these shares (MIX): mode, tau, slice, macro_f05, micro_p, micro_r."""
+    n_true = truth.groupBy("i").agg(F.count("*").alias("n_true"))
+    of_ids = ids.join(n_true, "i", "left").na.fill(0, ["n_true"])
+    totals = of_ids.groupBy("country").agg(F.count("*").alias("n"), F.count_if(F.col("n_true") == 0).alias("singles"), F.sum("n_true").alias("true"))
+    if isinstance(scores, dict):
+        modes, scores = list(scores), reduce(DataFrame.unionByName, (t.select("i", "j", "p", F.lit(m).alias("mode")) for m, t in scores.items()))
+    passed = scores.where(F.col("p") >= min(taus))
+    passed = passed.join(truth.select("i", "j", F.lit(1).alias("hit")), ["i", "j"], "left").withColumn("tau", F.explode(F.filter(F.array(*map(F.lit, taus)), lambda x: F.col("p") >= x)))
+    each = passed.groupBy("mode", "tau", "i").agg(F.count("*").alias("n_pred"), F.count("hit").alias("tp")).join(of_ids, "i")
+    each = each.groupBy("mode", "tau", "country").agg(F.sum(f_beta(F.col("tp"), F.col("n_pred"), F.col("n_true"))).alias("f"), F.sum("tp").alias("tp"), F.sum("n_pred").alias("pred"), F.count_if(F.col("n_true") == 0).alias("wrong"))
+    cells = spark.createDataFrame([(m, x) for m in modes for x in taus], "mode string, tau double").crossJoin(totals)
+    cells = cells.join(each, ["mode", "tau", "country"], "left").na.fill(0)
+    # A record without matches that chooses nothing scores 1.
+    cells = cells.withColumn("f", F.col("f") + F.col("singles") - F.col("wrong"))
+    slices = cells.groupingSets([["mode", "tau"], ["mode", "tau", "country"]], "mode", "tau", "country")
+    micro = [F.round(F.sum("tp") / F.greatest(F.sum(c), F.lit(1)), 6).alias(f"micro_{x}") for x, c in (("p", "pred"), ("r", "true"))]
+    out = slices.agg(F.round(F.sum("f") / F.sum("n"), 6).alias("macro_f05"), *micro).withColumn("slice", F.coalesce("country", F.lit("ALL")))
+    out = out.select("mode", "tau", "slice", "macro_f05", "micro_p", "micro_r")
+    if mix is None:
+        return out
+    share = F.element_at(F.create_map(*(F.lit(x) for c, w in mix.items() for x in (c, w / sum(mix.values())))), F.col("country"))
+    mixed = cells.where(F.col("country").isin(*mix)).groupBy("mode", "tau").agg(F.round(F.sum(share * F.col("f") / F.col("n")), 6).alias("macro_f05"))
+    none = F.lit(None).cast("double")
+    return out.unionByName(mixed.select("mode", "tau", F.lit("MIX").alias("slice"), "macro_f05", none.alias("micro_p"), none.alias("micro_r")))
+
+
+def cross_fitted_blend(spark, ids: DataFrame, scores: DataFrame, second: DataFrame, truth: DataFrame, weights: list[float], taus: list[float], seed: int) -> DataFrame:
+    """The weight and threshold that are best on one half of the records, by an md5 draw, scored on the
+    other: half (held out), w, tau, fitted (macro F0.5 on the other half), held_out, and alone, that of the
+    best threshold of the first scores alone. Ties go to the larger weight, then to the smaller threshold."""
+    halves = ids.select("i", F.when(in_sample(seed, 2), "a").otherwise("b").alias("country"))
+    first = scores.select("i", "j", "p").join(second.select("i", "j", "ce"), ["i", "j"], "left")
+    each = F.explode(F.array(*(F.struct(F.lit(str(w)).alias("mode"), F.round(blended(w), 6).alias("p")) for w in weights))).alias("x")
+    grid = threshold_sweep(spark, halves, first.select("i", "j", each).select("i", "j", "x.p", "x.mode"), truth, taus, modes=list(map(str, weights))).where("slice <> 'ALL'").select(F.col("mode").cast("double").alias("w"), "tau", "slice", "macro_f05")
+    # half is the one whose records were not fitted on.
+    fitted = grid.select(F.when(F.col("slice") == "a", "b").otherwise("a").alias("half"), "w", "tau", F.col("macro_f05").alias("fitted"))
+    scored = grid.select(F.col("slice").alias("half"), "w", "tau", F.col("macro_f05").alias("held_out"))
+    both = fitted.join(scored, ["half", "w", "tau"])
+
+    def best(d: DataFrame) -> DataFrame:
+        order = F.struct(F.col("fitted").alias("f"), F.col("w").alias("x"), (-F.col("tau")).alias("y"), F.col("held_out").alias("h"))
+        return d.groupBy("half").agg(F.max(order).alias("m")).select("half", F.col("m.x").alias("w"), (-F.col("m.y")).alias("tau"), F.col("m.f").alias("fitted"), F.col("m.h").alias("held_out"))
+
+    return best(both).join(best(both.where("w = 1")).select("half", F.col("held_out").alias("alone")), "half")
+
+
 def calibration_bins(scores: DataFrame, bins: int = 20) -> DataFrame:
     """scores: p, y. Of each bin: number, mean score, share of true pairs, and the bin's part of the expected error."""
     b = F.least(F.floor(F.col("p") * bins), F.lit(bins - 1)).alias("bin")
@@ -151,25 +202,33 @@ def shapley_losses(ids: DataFrame, scores: DataFrame, truth: DataFrame, tau: flo
     return d.select("i", F.explode(F.filter(each, lambda x: x["n"] > 0)).alias("x")).select("i", "x.cat", "x.loss")
 
 
-def resampled(records: DataFrame, rounds: int, seed: int) -> DataFrame:
-    """(country, round, m): means of Poisson resamples, a weight per record and round drawn from a hash of
-    both, so that it is one grouped sum however many records there are."""
-    u = F.pmod(F.xxhash64("i", "round", F.lit(seed)), F.lit(1_000_003)) / 1_000_003.0
-    weight, term, total = F.lit(0), np.exp(-1.0), 0.0
-    for k in range(8):
+def poisson_bounds() -> list[str]:
+    """Eight hex digits from which on a uniform draw stands for at least 1, 2, ... events of a mean of 1."""
+    out, term, total = [], exp(-1.0), 0.0
+    while True:
         total += term
-        weight = weight + F.when(u >= total, 1).otherwise(0)
-        term /= k + 1
-    drawn = records.select("i", "country", "f", F.explode(F.sequence(F.lit(1), F.lit(rounds))).alias("round")).withColumn("w", weight)
-    return drawn.groupBy("country", "round").agg((F.sum(F.col("w") * F.col("f")) / F.greatest(F.sum("w"), F.lit(1))).alias("m"))
+        if round(total * 16**8) >= 16**8:
+            return out
+        out.append(f"{round(total * 16**8):08x}")
+        term /= len(out)
+
+
+def resampled(records: DataFrame, rounds: int, seed: int) -> DataFrame:
+    """(country, round, m): means of Poisson resamples, a weight per record and round drawn from an md5 of
+    both, so that it is one grouped sum however many records there are, and any engine draws the same."""
+    u = F.substring(F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("i").cast("string"), F.col("round").cast("string")).cast("binary")), 1, 8)
+    drawn = records.select("i", "country", "f", F.explode(F.sequence(F.lit(1), F.lit(rounds))).alias("round")).withColumn("u", u)
+    weight = sum(((F.col("u") >= x).cast("int") for x in poisson_bounds()), F.lit(0))
+    drawn = drawn.withColumn("w", weight).where("w > 0")
+    return drawn.groupBy("country", "round").agg((F.sum(F.col("w") * F.col("f")) / F.sum("w")).alias("m"))
 
 
-def bootstrap(records: DataFrame, rounds: int = 200, seed: int = 0) -> DataFrame:
+def bootstrap(records: DataFrame, rounds: int = 2000, seed: int = 0) -> DataFrame:
     """95% intervals of macro F0.5 by country."""
     return resampled(records, rounds, seed).groupBy("country").agg(F.round(F.percentile("m", 0.025), 6).alias("lo"), F.round(F.percentile("m", 0.975), 6).alias("hi"))
 
 
-def paired_bootstrap(a: DataFrame, b: DataFrame, rounds: int = 200, seed: int = 0) -> DataFrame:
+def paired_bootstrap(a: DataFrame, b: DataFrame, rounds: int = 2000, seed: int = 0) -> DataFrame:
     """The same draws for two variants: the interval of the difference of their macro F0.5."""
     both = a.select("i", "country", F.col("f").alias("fa")).join(b.select("i", F.col("f").alias("fb")), "i")
     return bootstrap(both.withColumn("f", F.col("fa") - F.col("fb")), rounds, seed)
@@ -194,7 +253,7 @@ def percent_rank(d: DataFrame, value: str) -> DataFrame:
     return d.withColumn("pct", F.round(rank / F.count("*").over(by), 6))
 
 
-def reweighted(records: DataFrame, mix: dict[str, float], rounds: int = 200, seed: int = 0) -> DataFrame:
+def reweighted(records: DataFrame, mix: dict[str, float], rounds: int = 2000, seed: int = 0) -> DataFrame:
     """Macro F0.5 as it would be with these shares of countries: value, and its 95% interval from
     resampling each country on its own."""
     shares = F.create_map(*(F.lit(x) for c, w in mix.items() for x in (c, w / sum(mix.values()))))

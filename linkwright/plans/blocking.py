@@ -28,11 +28,13 @@ def _norm_sql(columns, rules="n2", records=DOCUMENTS_SQL):
     return f"{sql.normalized(rules, records)} SELECT {columns} FROM norm"
 
 
-def _views_sql(columns: str, records=DOCUMENTS_SQL) -> str:
-    def fold(x):
-        x = f"replace(replace(lower({sql.latin(x)}), '&', ' and '), '''', '')"
-        return f"trim({sql.sub(sql.sub(x, '[^\\p{L}\\p{M}\\p{N}_ \\t\\n\\f\\r]'), '[ \\t\\n\\f\\r]+')})"
+def folded(x: str) -> str:
+    x = f"replace(replace(lower({sql.latin(x)}), '&', ' and '), '''', '')"
+    return f"trim({sql.sub(sql.sub(x, '[^\\p{L}\\p{M}\\p{N}_ \\t\\n\\f\\r]'), '[ \\t\\n\\f\\r]+')})"
 
+
+def views_sql(columns: str, records=DOCUMENTS_SQL) -> str:
+    fold = folded
     base = fold("name_raw")
     for pattern, to in fixed.VIEW_PHRASES:
         base = sql.sub(base, pattern, to)
@@ -95,8 +97,8 @@ QUERIES = {
     "norm_addr_nums": (lambda s, f: parts(s, f).select("eid", "addr_n", "addr_nums"), _norm_sql("eid, addr_n, addr_nums", "n2", PARTS_SQL)),
     "norm_script_class": (lambda s, f: documents(s, f).groupBy("country", "script").agg(F.count("*").alias("n")), f"{sql.normalized()} SELECT country, script, count(*) AS n FROM norm GROUP BY ALL"),
     "norm_alias_web": (lambda s, f: parts(s, f).select("eid", "name_alias", "name_web", "name_core"), _norm_sql("eid, name_alias, name_web, name_core", "n2", PARTS_SQL)),
-    "views_name": (lambda s, f: name_views(from_parts(s, f)).select("eid", *_NAMES), _views_sql("eid, " + ", ".join(_NAMES), PARTS_SQL)),
-    "views_addr": (lambda s, f: address_views(from_parts(s, f)).select("eid", *_ADDR), _views_sql("eid, " + ", ".join(_ADDR), PARTS_SQL)),
+    "views_name": (lambda s, f: name_views(from_parts(s, f)).select("eid", *_NAMES), views_sql("eid, " + ", ".join(_NAMES), PARTS_SQL)),
+    "views_addr": (lambda s, f: address_views(from_parts(s, f)).select("eid", *_ADDR), views_sql("eid, " + ", ".join(_ADDR), PARTS_SQL)),
     "id_roundtrip": (_ids, f"WITH {DOCUMENTS_SQL} SELECT eid, 'S' || eid // 1000000000000 || '-' || eid % 1000000000000 AS id, eid AS back, substr(md5('7:' || eid), 1, 12) AS rank FROM rec"),
     "phonetic_skeleton": (_skeletons, f"{sql.normalized()}, w AS (SELECT DISTINCT unnest({sql.toks('name_n')}) AS word FROM norm) SELECT word, {sql.skeleton('word')} AS skeleton FROM w"),
     "token_frequency": (lambda s, f: ops.token_frequency(documents(s, f)), f"{sql.normalized()}{sql.token_tables()} SELECT * FROM freq"),

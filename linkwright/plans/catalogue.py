@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import blocking, evaluation, pairs
+from . import blocking, evaluation, exchange, pairs
 
-_PARTS = (blocking, pairs, evaluation)
+_PARTS = (blocking, pairs, evaluation, exchange)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

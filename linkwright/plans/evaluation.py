@@ -125,6 +125,80 @@ def _blend_grid(s, f):
     return ev.threshold_grid(s, ids(s, f), tables, truth(s, f), [0.3, 0.7])
 
 
+_BLEND_GRID_SQL = SCORES + f""",
+second AS (SELECT i, j, round(1 - p * 0.9, 6) AS ce FROM scores WHERE p BETWEEN 0.2 AND 0.9),
+lo AS (SELECT s.i, s.j, p, ce, least(greatest(p, 1e-6), 1 - 1e-6) AS a, least(greatest(ce, 1e-6), 1 - 1e-6) AS b FROM scores s LEFT JOIN second USING (i, j)),
+ws AS (SELECT unnest(@W) AS w), taus AS (SELECT unnest(@T) AS tau),
+bl AS (SELECT w, i, j, round(CASE WHEN ce IS NULL THEN p ELSE 1 / (1 + exp(-(w * ln(a / (1 - a)) + (1 - w) * ln(b / (1 - b))))) END, 6) AS p FROM lo CROSS JOIN ws),
+nt AS (SELECT i, count(*) AS n_true FROM truth GROUP BY i),
+ch AS (SELECT b.w, t.tau, b.i, count(*) AS n_pred, count(x.j) AS tp FROM bl b JOIN taus t ON b.p >= t.tau LEFT JOIN truth x ON x.i = b.i AND x.j = b.j GROUP BY ALL),
+pr0 AS (SELECT ws.w, taus.tau, d.i, d.country, coalesce(n_true, 0) AS n_true, coalesce(n_pred, 0) AS n_pred, coalesce(tp, 0) AS tp FROM ids d CROSS JOIN ws CROSS JOIN taus LEFT JOIN nt ON nt.i = d.i LEFT JOIN ch ON ch.w = ws.w AND ch.tau = taus.tau AND ch.i = d.i),
+pr AS (SELECT *, {_F} AS f FROM pr0)"""
+
+
+def _blend_sql(weights, taus) -> str:
+    return _BLEND_GRID_SQL.replace("@W", str(weights)).replace("@T", str(taus))
+
+
+#: The reference's grid of blend weights and thresholds.
+WEIGHTS, BLEND_TAUS = [1.0, 0.8, 0.6, 0.5, 0.4, 0.2, 0.0], [0.5, 0.6, 0.65, 0.7, 0.75, 0.8, 0.85]
+
+
+def _cross_fitted(s, f):
+    second = scores(s, f).where(F.col("p").between(0.2, 0.9)).select("i", "j", F.round(1 - F.col("p") * 0.9, 6).alias("ce"))
+    return ev.cross_fitted_blend(s, ids(s, f), scores(s, f).select("i", "j", "p"), second, truth(s, f), WEIGHTS, BLEND_TAUS, 17)
+
+
+_CROSS_SQL = _blend_sql(WEIGHTS, BLEND_TAUS) + f""",
+hf AS (SELECT CAST(w AS DOUBLE) AS w, CAST(tau AS DOUBLE) AS tau, CASE WHEN substr(md5('17:' || i), 1, 12) < '{16**12 // 2:012x}' THEN 'a' ELSE 'b' END AS half, round(avg(f), 6) AS m FROM pr GROUP BY ALL),
+cf AS (SELECT e.half, e.w, e.tau, o.m AS fitted, e.m AS held_out FROM hf e JOIN hf o ON o.w = e.w AND o.tau = e.tau AND o.half <> e.half),
+b1 AS (SELECT * FROM cf QUALIFY row_number() OVER (PARTITION BY half ORDER BY fitted DESC, w DESC, tau) = 1),
+b0 AS (SELECT half, held_out AS alone FROM cf WHERE w = 1 QUALIFY row_number() OVER (PARTITION BY half ORDER BY fitted DESC, tau) = 1)
+SELECT half, w, tau, fitted, held_out, alone FROM b1 JOIN b0 USING (half)"""
+
+MIX = {"de": 0.5, "en": 0.3, "es": 0.2}
+
+
+def _sweep(s, f):
+    x = scores(s, f).select("i", "j", "p")
+    tables = {m: dec.one_owner(x, m).withColumn("p", F.round("p", 9)) for m in ("none", "hard", "soft")}
+    return ev.threshold_sweep(s, ids(s, f), tables, truth(s, f), TAUS, MIX)
+
+
+_SWEEP_SQL = SCORES + OWNED + f""",
+taus AS (SELECT unnest({TAUS}) AS tau), modes AS (SELECT unnest(['none', 'hard', 'soft']) AS mode),
+alls AS (SELECT 'none' AS mode, i, j, p FROM scores UNION ALL SELECT 'hard', i, j, p FROM owned UNION ALL SELECT 'soft', i, j, round(p / greatest(1.0, sum(p) OVER (PARTITION BY j)), 9) FROM scores),
+nt AS (SELECT i, count(*) AS n_true FROM truth GROUP BY i),
+ch AS (SELECT mode, tau, a.i, count(*) AS n_pred, count(x.j) AS tp FROM alls a JOIN taus t ON a.p >= t.tau LEFT JOIN truth x ON x.i = a.i AND x.j = a.j GROUP BY ALL),
+g0 AS (SELECT m.mode, t.tau, d.i, d.country, coalesce(n_true, 0) AS n_true, coalesce(n_pred, 0) AS n_pred, coalesce(tp, 0) AS tp
+  FROM modes m CROSS JOIN taus t CROSS JOIN ids d LEFT JOIN nt ON nt.i = d.i LEFT JOIN ch ON ch.mode = m.mode AND ch.tau = t.tau AND ch.i = d.i),
+gf AS (SELECT *, {_F} AS f FROM g0),
+mx AS (SELECT mode, tau, country, avg(f) * CASE country WHEN 'de' THEN 0.5 WHEN 'en' THEN 0.3 ELSE 0.2 END AS part FROM gf WHERE country IN ('de', 'en', 'es') GROUP BY mode, tau, country)
+SELECT mode, CAST(tau AS DOUBLE) AS tau, coalesce(country, 'ALL') AS slice, round(avg(f), 6) AS macro_f05, round(sum(tp) / greatest(sum(n_pred), 1), 6) AS micro_p, round(sum(tp) / greatest(sum(n_true), 1), 6) AS micro_r
+FROM gf GROUP BY GROUPING SETS ((mode, tau), (mode, tau, country))
+UNION ALL SELECT mode, CAST(tau AS DOUBLE), 'MIX', round(sum(part), 6), NULL, NULL FROM mx GROUP BY mode, tau"""
+
+
+def _drawn(value: str, table: str, rounds: int = 2000, group: str = "country") -> str:
+    """Means of md5-drawn Poisson resamples of a table (i, country, value)."""
+    weight = " + ".join(f"CAST(u >= '{x}' AS INTEGER)" for x in ev.poisson_bounds())
+    return f"""bu AS (SELECT country, r, f, substr(md5('0:' || i || ':' || r), 1, 8) AS u FROM (SELECT i, country, {value} AS f, unnest(range(1, {rounds + 1})) AS r FROM {table})),
+bw AS (SELECT country, r, f, {weight} AS w FROM bu),
+bm AS (SELECT country, r, sum(w * f) / sum(w) AS m FROM bw WHERE w > 0 GROUP BY country, r)"""
+
+
+_INTERVAL = "SELECT country, round(quantile_cont(m, 0.025), 6) AS lo, round(quantile_cont(m, 0.975), 6) AS hi FROM bm GROUP BY country"
+_PAIRED_SQL = CHOSEN + PER + f""",
+chosen2 AS (SELECT i, j FROM owned WHERE p >= 0.5),
+cnt2 AS (SELECT coalesce(t.i, c.i) AS i, count(t.j) AS n_true, count(c.j) AS n_pred, count(*) FILTER (t.j IS NOT NULL AND c.j IS NOT NULL) AS tp FROM (SELECT i, j FROM truth) t FULL JOIN chosen2 c ON t.i = c.i AND t.j = c.j GROUP BY ALL),
+per2 AS (SELECT i, {_F} AS f2 FROM (SELECT i, coalesce(n_true, 0) AS n_true, coalesce(n_pred, 0) AS n_pred, coalesce(tp, 0) AS tp FROM ids LEFT JOIN cnt2 USING (i))),
+dif AS (SELECT i, country, f - f2 AS d FROM per JOIN per2 USING (i)), {_drawn('d', 'dif')} {_INTERVAL}"""
+_REWEIGHTED_SQL = CHOSEN + PER + f""",
+sub AS (SELECT i, country, f, CASE country WHEN 'de' THEN 0.5 WHEN 'en' THEN 0.3 ELSE 0.2 END AS share FROM per WHERE country IN ('de', 'en', 'es')), {_drawn('f', 'sub')},
+sh AS (SELECT DISTINCT country, share FROM sub), rm AS (SELECT r, sum(share * m) AS m FROM bm JOIN sh USING (country) GROUP BY r)
+SELECT (SELECT round(sum(a * share), 6) FROM (SELECT country, avg(f) AS a FROM sub GROUP BY country) JOIN sh USING (country)) AS value, round(quantile_cont(m, 0.025), 6) AS lo, round(quantile_cont(m, 0.975), 6) AS hi FROM rm"""
+
+
 def _strata(s, f):
     return sp.buckets(ids(s, f), truth(s, f))
 
@@ -222,6 +296,23 @@ def _isotonic(s, f):
     return learn.calibrate(d.withColumn("src", F.col("src").cast("int"))).select("i", "j", "fold", "p", F.round("q", 6).alias("q"))
 
 
+#: Pooled values as the largest, over starts up to a score, of the least mean over ends from it on.
+_ISOTONIC_SQL = LABELLED + f""",
+nb AS (SELECT ids.i, country, CAST(least(count(t.j), 3) AS INTEGER) AS bucket FROM ids LEFT JOIN truth t ON t.i = ids.i GROUP BY ALL),
+fo AS (SELECT i, CAST((row_number() OVER (PARTITION BY country, bucket ORDER BY {_md5(3)}, i) - 1) % 3 AS INTEGER) AS fold FROM nb),
+sc AS (SELECT l.i, l.j, l.src, fold, l.p, l.y FROM lab l JOIN fo USING (i)),
+fs AS (SELECT DISTINCT fold FROM sc),
+gr AS (SELECT f.fold, src, p AS x, count(*) AS n, sum(y) AS s FROM sc JOIN fs f ON f.fold <> sc.fold GROUP BY ALL),
+cu AS (SELECT *, row_number() OVER w AS r, sum(n) OVER w AS cn, sum(s) OVER w AS cs FROM gr WINDOW w AS (PARTITION BY fold, src ORDER BY x)),
+av AS (SELECT a.fold, a.src, a.r AS ra, b.r AS rb, (b.cs - a.cs + a.s) / (b.cn - a.cn + a.n) AS m FROM cu a JOIN cu b ON a.fold = b.fold AND a.src = b.src AND a.r <= b.r),
+lm AS (SELECT fold, src, ra, rb, min(m) OVER (PARTITION BY fold, src, ra ORDER BY rb DESC) AS m FROM av),
+pv AS (SELECT fold, src, rb AS r, max(m) AS v FROM lm GROUP BY ALL),
+st AS (SELECT fold, src, x, v FROM pv JOIN cu USING (fold, src, r)),
+hi AS (SELECT fold, src, max(x) AS top FROM st GROUP BY ALL),
+pk AS (SELECT sc.i, sc.j, sc.fold, sc.p, sc.src, min(st.x) AS x FROM sc LEFT JOIN st ON st.fold = sc.fold AND st.src = sc.src AND st.x >= sc.p GROUP BY ALL)
+SELECT pk.i, pk.j, pk.fold, pk.p, round(coalesce(st.v, pk.p), 6) AS q FROM pk LEFT JOIN hi USING (fold, src) LEFT JOIN st ON st.fold = pk.fold AND st.src = pk.src AND st.x = coalesce(pk.x, hi.top)"""
+
+
 def _knn(s, f):
     e = load(s, f, "embeddings")
     a, b = e.where("vec_id % 3 = 0"), e.where("vec_id % 3 <> 0")
@@ -251,7 +342,9 @@ QUERIES = {
     "macro_f05": (lambda s, f: ev.summary(_records(s, f)), CHOSEN + PER + _SUMMARY),
     "per_record_f05": (lambda s, f: _records(s, f).select("i", "country", "n_true", "n_pred", "tp", F.round("f", 6).alias("f")), CHOSEN + PER + " SELECT i, country, n_true, n_pred, tp, round(f, 6) AS f FROM per"),
     "tau_grid_owner": (_grid, _GRID_SQL),
-    "blend_grid": (_blend_grid, None),
+    "blend_grid": (_blend_grid, _blend_sql([0.5, 0.8], [0.3, 0.7]) + " SELECT 'w' || w AS mode, CAST(tau AS DOUBLE) AS tau, round(avg(f), 6) AS macro_f05, round(sum(tp) / greatest(sum(n_pred), 1), 6) AS micro_p, round(sum(tp) / greatest(sum(n_true), 1), 6) AS micro_r FROM pr GROUP BY w, tau"),
+    "blend_cross_fitted": (_cross_fitted, _CROSS_SQL),
+    "tau_sweep_slices": (_sweep, _SWEEP_SQL),
     "ece_bins": (lambda s, f: ev.calibration_bins(_labelled(s, f)), LABELLED + ", eb AS (SELECT CAST(least(floor(p * 20), 19) AS BIGINT) AS bin, count(*) AS n, avg(p) AS mp, avg(y) AS my FROM lab GROUP BY 1) SELECT bin, n, round(mp, 6) AS mean_p, round(my, 6) AS mean_y, round(n / sum(n) OVER () * abs(mp - my), 6) AS ece_part FROM eb"),
     "error_taxonomy": (lambda s, f: ev.label_errors(scores(s, f), truth(s, f), 0.75), _TAX + " SELECT i, j, p, cat FROM errors"),
     "error_pivot": (lambda s, f: ev.label_errors(scores(s, f), truth(s, f), 0.75).join(ids(s, f), "i").groupBy("cat").pivot("country", ["de", "en", "es", "fr"]).agg(F.count(F.lit(1))).na.fill(0), _TAX + " SELECT cat, " + ", ".join(f"count(*) FILTER (country = '{c}') AS {c}" for c in ("de", "en", "es", "fr")) + " FROM errors JOIN ids USING (i) GROUP BY cat"),
@@ -259,12 +352,12 @@ QUERIES = {
     "hard_cases": (_hard_cases, _HARD_SQL),
     "auc_ap": (lambda s, f: ev.auc_ap(_labelled(s, f)), LABELLED + ", g AS (SELECT p, sum(y) AS pos, count(*) AS n FROM lab GROUP BY p), w AS (SELECT *, sum(pos) OVER (ORDER BY p DESC) AS tp, sum(n) OVER (ORDER BY p DESC) AS seen FROM g) SELECT round(sum((n - pos) * (tp - pos / 2)) / (sum(pos) * sum(n - pos)), 6) AS auc, round(sum(pos * tp / seen) / sum(pos), 6) AS ap FROM w"),
     "pct_rank_country": (lambda s, f: ev.percent_rank(scores(s, f), "p").select("i", "j", "country", "pct"), SCORES + " SELECT i, j, country, round((rank() OVER (PARTITION BY country ORDER BY p) + (count(*) OVER (PARTITION BY country, p) - 1) / 2.0) / count(*) OVER (PARTITION BY country), 6) AS pct FROM scores"),
-    "reweighted_f05": (lambda s, f: ev.reweighted(_records(s, f), {"de": 0.5, "en": 0.3, "es": 0.2}).select("value"), CHOSEN + PER + ", m AS (SELECT country, avg(f) AS m FROM per GROUP BY country) SELECT round(sum(m * CASE country WHEN 'de' THEN 0.5 WHEN 'en' THEN 0.3 ELSE 0.2 END), 6) AS value FROM m WHERE country IN ('de', 'en', 'es')"),
+    "reweighted_f05": (lambda s, f: ev.reweighted(_records(s, f), MIX), _REWEIGHTED_SQL),
     "feature_variant_rank": (_variants, SCORES + ", c AS (SELECT i, j, country, s_name, s_all FROM cand JOIN ids USING (i)) SELECT i, j, country, " + ", ".join(f"round((rank() OVER (PARTITION BY country ORDER BY {x}) + (count(*) OVER (PARTITION BY country, {x}) - 1) / 2.0) / count(*) OVER (PARTITION BY country), 6) AS {x}" for x in ("s_name", "s_all")) + " FROM c"),
     "eda_fuzzy_evidence": (_fuzzy_evidence, None),
     "shapley_losses": (lambda s, f: ev.shapley_losses(ids(s, f), scores(s, f), truth(s, f), 0.75).withColumn("loss", F.round("loss", 6)), _SHAPLEY_SQL),
-    "bootstrap_ci": (lambda s, f: ev.bootstrap(_records(s, f)), None),
-    "paired_bootstrap": (lambda s, f: ev.paired_bootstrap(_records(s, f), ev.per_record(ids(s, f), _chosen(s, f, 0.5).select("i", "j"), truth(s, f))), None),
+    "bootstrap_ci": (lambda s, f: ev.bootstrap(_records(s, f)), CHOSEN + PER + f", {_drawn('f', 'per')} {_INTERVAL}"),
+    "paired_bootstrap": (lambda s, f: ev.paired_bootstrap(_records(s, f), ev.per_record(ids(s, f), _chosen(s, f, 0.5).select("i", "j"), truth(s, f))), _PAIRED_SQL),
     "folds_stratified": (lambda s, f: sp.folds(_strata(s, f), 5, 42), STRATA + f" SELECT i, country, bucket, CAST((row_number() OVER (PARTITION BY country, bucket ORDER BY {_md5(42)}, i) - 1) % 5 AS INTEGER) AS fold FROM strata"),
     "loco_folds": (lambda s, f: sp.leave_one_country_out(_strata(s, f)).groupBy("held_out").agg(F.count("*").alias("n")), STRATA + " SELECT country AS held_out, count(*) AS n FROM strata GROUP BY country"),
     "hash_sample": (lambda s, f: ids(s, f).where(sp.in_sample(5, 7)), STRATA + f" SELECT i, country FROM ids WHERE {_md5(5)} < '{16**12 // 7:012x}'"),
@@ -287,5 +380,5 @@ QUERIES = {
     "knn_embeddings": (_knn, _KNN_SQL),
     "knn_embeddings_whole": (_knn_whole, _KNN_WHOLE_SQL),
     "gbt_oof": (_gbt, None),
-    "isotonic_calibration": (_isotonic, None),
+    "isotonic_calibration": (_isotonic, _ISOTONIC_SQL),
 }

@@ -8,7 +8,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.text import decode_id, encode_id
+from ..functions.text import decode_id, encode_id, transliterate
 
 SOURCE = ["entity_id", "business_name", "business_address", "country"]
 
@@ -100,6 +100,34 @@ def pair_texts(pairs: DataFrame, records: DataFrame) -> DataFrame:
     return pairs.join(t.select(F.col("eid").alias("i"), F.col("t").alias("text_a")), "i").join(t.select(F.col("eid").alias("j"), F.col("t").alias("text_b")), "j")
 
 
+def write_source(records: DataFrame, path: str) -> None:
+    """records: eid, country, name_raw, addr_raw as a tab-separated source; cells must hold no tab or line end."""
+    cells = [decode_id(F.col("eid")), "name_raw", "addr_raw", "country"]
+    d = records.select(*(F.coalesce(F.col(c) if isinstance(c, str) else c, F.lit("")).alias(n) for c, n in zip(cells, SOURCE)))
+    d.write.mode("overwrite").option("sep", "\t").option("header", True).option("quote", "").option("emptyValue", "").csv(path)
+
+
+def write_table(table: DataFrame, path: str) -> None:
+    """A small table, as importances and statistics are, as comma-separated values with a header."""
+    table.write.mode("overwrite").option("header", True).csv(path)
+
+
+def write_meta(spark: SparkSession, meta: dict, path: str) -> None:
+    """What a run was made with, one JSON object a line."""
+    spark.createDataFrame([(json.dumps(meta, sort_keys=True, default=str),)], "value string").coalesce(1).write.mode("overwrite").text(path)
+
+
+def write_ids(ids: DataFrame, path: str) -> None:
+    """ids: i. Text ids, one a line, in ascending parts."""
+    ids.select("i").distinct().orderBy("i").select(decode_id(F.col("i")).alias("value")).write.mode("overwrite").text(path)
+
+
+def pair_export(pairs: DataFrame, records: DataFrame, low: float, high: float) -> DataFrame:
+    """pairs: i, j, p and more: those with a score in the band, with both records' texts in ASCII."""
+    band = pairs.where(F.col("p").between(low, high))
+    return pair_texts(band, records.withColumns({c: transliterate(F.col(c), True) for c in ("name_raw", "addr_raw")}))
+
+
 def markdown(rows: list[dict]) -> str:
     """A small result as a Markdown table."""
     if not rows:
