@@ -22,8 +22,8 @@ class Mixing:
     tokens."""
 
     max_train: int = 20_000
-    buckets: int = 1 << 18
-    folds: int = 4
+    buckets: int = 1 << 17
+    folds: int = 3
     shrink: float = 1.0
     doubt: float = 8.0
     steps: int = 60
