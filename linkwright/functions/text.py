@@ -31,21 +31,50 @@ def _latin() -> tuple[str, str, dict[str, str]]:
 LATIN_FROM, LATIN_TO, LATIN_TWO = _latin()
 
 
+#: The usual romanisation of Greek and Cyrillic letters, in alphabetical order.
+GREEK = dict(zip("αβγδεζηθικλμνξοπρσςτυφχψω", "a v g d e z i th i k l m n x o p r s s t y f ch ps o".split()))
+CYRILLIC = dict(zip("абвгдежзийклмнопрстуфхцчшщъыьэюяєіїґ", "a b v g d e zh z i y k l m n o p r s t u f kh ts ch sh shch _ y _ e yu ya ye i yi g".split()))
+LETTERS = {a: b.replace("_", "") for a, b in (GREEK | CYRILLIC).items()}
+
+_INDIC = re.compile(r"^(?:DEVANAGARI|BENGALI|GURMUKHI|GUJARATI|ORIYA|TAMIL|TELUGU|KANNADA|MALAYALAM) (LETTER|VOWEL SIGN|SIGN) (.+)$")
+_NAMED = re.compile(r"(?:LETTER|SYLLABLE|DIGIT) (?:SMALL |CAPITAL )?([A-Z]+)")
+
+
+def _indic(kind: str, name: str) -> tuple[str, bool]:
+    """(spelling, whether an inherent a may follow) of an Indic character by the parts of its Unicode name."""
+    if kind == "SIGN":
+        return {"ANUSVARA": "n", "CANDRABINDU": "n", "VISARGA": "h"}.get(name, ""), False
+    word = name.split(" ")[-1].lower()
+    if kind == "LETTER" and len(word) > 1 and word.endswith("a") and not word.startswith(("a", "i", "u", "e", "o")):
+        return word[:-1], True
+    return word.replace("aa", "a").replace("ii", "i").replace("uu", "u"), False
+
+
 def spell(text: str) -> str:
-    """ASCII spelling of any script: marks go, letters become the last words of their Unicode names."""
+    """ASCII spelling of any script. Marks go. Greek and Cyrillic letters by table; Indic ones by their names,
+    a consonant with its a unless a vowel sign, a virama or the word's end follows; digits as digits;
+    all other letters by the last word of their names."""
     out = []
-    for c in unicodedata.normalize("NFKD", text):
-        if c.isascii():
+    open_ = False  # whether a consonant waits for its vowel
+    for c in unicodedata.normalize("NFKD", text.replace("й", "\0").replace("Й", "\0").replace("ї", "\1").replace("Ї", "\1")):
+        low = {"\0": "й", "\1": "ї"}.get(c, c.lower())
+        name = "" if low.isascii() else unicodedata.name(c, "")
+        found = _INDIC.match(name)
+        sound, waits = _indic(*found.groups()) if found and not c.isdigit() else ("", False)
+        if open_ and (found and found[1] == "LETTER" or "ANUSVARA" in name or "CANDRABINDU" in name):
+            out.append("a")
+        open_ = waits or (open_ and "NUKTA" in name)
+        if low.isascii():
             out.append(c)
+        elif low in LETTERS:
+            out.append(LETTERS[low])
+        elif c.isdigit():
+            out.append(str(unicodedata.digit(c, "")))
+        elif found:
+            out.append(sound)
         elif not unicodedata.combining(c):
-            name = unicodedata.name(c, "")
-            found = re.search(r"(?:LETTER|SYLLABLE|DIGIT|VOWEL SIGN) (?:SMALL |CAPITAL )?([A-Z]+)", name)
-            if c.isdigit():
-                out.append(str(unicodedata.digit(c, "")))
-            elif found:
-                out.append(found[1].lower())
-            else:
-                out.append(" " if c.isspace() else "")
+            named = _NAMED.search(name)
+            out.append(named[1].lower() if named else " " if c.isspace() else "")
     return "".join(out)
 
 
