@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,19 +15,21 @@ def validate(lists: DataFrame, ids: DataFrame, known: DataFrame | None = None) -
     the record itself, ids that are of neither other source, and ids that do not exist (only if known).
     """
     x = lists.select("id", F.filter(F.transform(F.split("ids", ","), lambda t: F.trim(t)), lambda t: t != "").alias("l"))
-    pairs = x.select("id", F.explode("l").alias("c"))
-    found = {
-        "duplicate_row": lists.groupBy("id").agg(F.count("*").alias("n")).where("n > 1"),
-        "duplicate_in_list": x.where(F.size("l") > F.size(F.array_distinct("l"))),
-        "self_match": pairs.where("id = c"),
-        "bad_prefix": pairs.where(~F.col("c").rlike("^S[23]-")),
-        "missing": ids.select("id").distinct().join(lists, "id", "left_anti"),
-        "extra": lists.select("id").distinct().join(ids, "id", "left_anti"),
-    }
-    if known is not None:
-        found["unknown_id"] = pairs.join(known.select(F.col("id").alias("c")).distinct(), "c", "left_anti")
-    counts = [d.agg(F.count("*").alias("n")).select(F.lit(k).alias("finding"), "n") for k, d in found.items()]
-    return reduce(DataFrame.unionByName, counts)
+    per_id = x.groupBy("id").agg(
+        F.count("*").alias("rows"),
+        F.sum((F.size("l") > F.size(F.array_distinct("l"))).cast("long")).alias("duplicate_in_list"),
+        F.sum(F.size(F.filter("l", lambda c: c == F.col("id"))).cast("long")).alias("self_match"),
+        F.sum(F.size(F.filter("l", lambda c: ~c.rlike("^S[23]-"))).cast("long")).alias("bad_prefix"),
+    )
+    # The file is read once for all that its rows and the required ids tell.
+    both = per_id.join(ids.select("id", F.lit(True).alias("wanted")).distinct(), "id", "full")
+    sums = [F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("duplicate_in_list", "self_match", "bad_prefix")]
+    counts = both.agg(F.count_if(F.col("rows") > 1).alias("duplicate_row"), *sums, F.count_if(F.col("rows").isNull()).alias("missing"), F.count_if(F.col("wanted").isNull()).alias("extra"))
+    found = counts.select(F.explode(F.array(*(F.struct(F.lit(c).alias("finding"), F.col(c).alias("n")) for c in counts.columns))).alias("x")).select("x.finding", "x.n")
+    if known is None:
+        return found
+    strays = x.select(F.explode("l").alias("c")).join(known.select(F.col("id").alias("c")).distinct(), "c", "left_anti")
+    return found.unionByName(strays.agg(F.count("*").alias("n")).select(F.lit("unknown_id").alias("finding"), "n"))
 
 
 def not_candidates(matches: DataFrame, candidates: DataFrame) -> DataFrame:
