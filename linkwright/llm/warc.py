@@ -232,8 +232,9 @@ def archive_pages(spark: SparkSession, pages: DataFrame, config: Warc = Warc())
     The payload is the html in UTF-8. Of records with equal payloads of at least `least` bytes the one
     with the largest page_id is the response, the others revisit it. Nulls: a null html is an empty
     payload, a null url gives no target URI, a row with null page_id is always a response and nothing
-    refers to it. Repeated rows: rows with the largest page_id are all responses. Empty input gives
-    no rows. Other columns are ignored.
+    refers to it. Repeated rows, and ties of the largest page_id: all of them are responses. A very long
+    html is one record, held whole by the task that writes or reads it. Empty input gives no rows. Other
+    columns are ignored, whatever their names.
     """
     work = Work(spark, "warc")
     html = F.coalesce(F.col("html").cast("string"), F.lit(""))
