@@ -92,8 +92,14 @@ def corroboration(records: DataFrame, truth: DataFrame) -> DataFrame:
 
 
 def prediction_stats(ids: DataFrame, chosen: DataFrame) -> DataFrame:
-    """Per country: records, share with any match, mean and 95th percentile of matches (interpolated),
-    and source 3's share of the matches."""
+    """Per country: records, share with any match, mean and 95th percentile of matches (of a record's own
+    number, the nearest), and source 3's share of the matches."""
     n = chosen.groupBy("i").agg(F.count("*").alias("n"), F.count_if(F.col("src") == 3).alias("n3"))
     d = ids.join(n, "i", "left").na.fill(0, ["n", "n3"])
-    return d.groupBy("country").agg(F.count("*").alias("records"), F.round(F.avg((F.col("n") > 0).cast("double")), 6).alias("matched_share"), F.round(F.avg("n"), 6).alias("mean_matches"), F.round(F.percentile("n", 0.95), 6).alias("p95"), F.round(F.sum("n3") / F.greatest(F.sum("n"), F.lit(1)), 6).alias("s3_share"))
+    # Few numbers of matches are distinct, so only those are put in order.
+    sizes = d.groupBy("country", "n").agg(F.count("*").alias("c"), F.sum("n3").alias("n3"))
+    by = Window.partitionBy("country")
+    reached = F.sum("c").over(by.orderBy("n")) > F.round(0.95 * (F.sum("c").over(by) - 1))
+    g = sizes.withColumn("reached", reached).groupBy("country")
+    total = F.sum(F.col("n") * F.col("c"))
+    return g.agg(F.sum("c").alias("records"), F.round(F.sum(F.when(F.col("n") > 0, F.col("c")).otherwise(0)) / F.sum("c"), 6).alias("matched_share"), F.round(total / F.sum("c"), 6).alias("mean_matches"), F.min(F.when(F.col("reached"), F.col("n"))).alias("p95"), F.round(F.sum("n3") / F.greatest(total, F.lit(1)), 6).alias("s3_share"))

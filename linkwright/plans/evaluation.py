@@ -376,7 +376,7 @@ QUERIES = {
     "eda_corroboration": (lambda s, f: prof.corroboration(documents(s, f), truth(s, f)), _EVIDENCE_SQL + f", c AS (SELECT x.name_core = y.name_core AS n, x.addr_n = y.addr_n AS a FROM truth t JOIN truth u ON t.i = u.i AND t.src = 2 AND u.src = 3 JOIN norm x ON x.eid = t.j JOIN norm y ON y.eid = u.j) SELECT count(*) AS triples, {_SHARE.format('n')} AS same_name, {_SHARE.format('a')} AS same_addr FROM c"),
     "mine_substitutions": (_substitutions, sql.blocked(CAPPED) + f", d AS (SELECT list_distinct({_TOK.format('a.name_n')}) AS ta, list_distinct({_TOK.format('b.name_n')}) AS tb FROM cand c JOIN norm a ON a.eid = c.i JOIN norm b ON b.eid = c.j), x AS (SELECT list_filter(ta, lambda z: NOT list_contains(tb, z)) AS x, list_filter(tb, lambda z: NOT list_contains(ta, z)) AS y FROM d) SELECT x[1] AS from_token, y[1] AS to_token, count(*) AS n FROM x WHERE len(x) = 1 AND len(y) = 1 GROUP BY 1, 2 ORDER BY n DESC, 1, 2 LIMIT 40"),
     "weighted_quantile": (lambda s, f: prof.weighted_quantiles(scores(s, f).withColumn("w", (1 + F.col("j") % 5).cast("double")), "country", "p", "w"), SCORES + ", g AS (SELECT country, p, sum(1.0 + j % 5) AS w FROM scores GROUP BY ALL), r AS (SELECT *, sum(w) OVER (PARTITION BY country ORDER BY p) AS run, sum(w) OVER (PARTITION BY country) AS tot FROM g) SELECT country, " + ", ".join(f"min(p) FILTER (run >= {q} * tot - 1e-9) AS q{round(q * 100)}" for q in (0.1, 0.5, 0.9)) + ", round(sum(CAST(w AS DOUBLE) * p) / sum(CAST(w AS DOUBLE)), 6) AS mean FROM r GROUP BY country"),
-    "prediction_stats": (lambda s, f: prof.prediction_stats(ids(s, f), _chosen(s, f)), CHOSEN + ", n AS (SELECT ids.i, country, count(c.j) AS n, count(*) FILTER (c.src = 3) AS n3 FROM ids LEFT JOIN chosen c ON c.i = ids.i GROUP BY ALL) SELECT country, count(*) AS records, round(avg(CAST(n > 0 AS DOUBLE)), 6) AS matched_share, round(avg(n), 6) AS mean_matches, round(quantile_cont(n, 0.95), 6) AS p95, round(sum(n3) / greatest(sum(n), 1), 6) AS s3_share FROM n GROUP BY country"),
+    "prediction_stats": (lambda s, f: prof.prediction_stats(ids(s, f), _chosen(s, f)), CHOSEN + ", n AS (SELECT ids.i, country, count(c.j) AS n, count(*) FILTER (c.src = 3) AS n3 FROM ids LEFT JOIN chosen c ON c.i = ids.i GROUP BY ALL) SELECT country, count(*) AS records, round(avg(CAST(n > 0 AS DOUBLE)), 6) AS matched_share, round(avg(n), 6) AS mean_matches, list_sort(list(n))[CAST(round(0.95 * (count(*) - 1)) AS INTEGER) + 1] AS p95, round(sum(n3) / greatest(sum(n), 1), 6) AS s3_share FROM n GROUP BY country"),
     "knn_embeddings": (_knn, _KNN_SQL),
     "knn_embeddings_whole": (_knn_whole, _KNN_WHOLE_SQL),
     "gbt_oof": (_gbt, None),
