@@ -176,6 +176,27 @@ def test_large_group_is_split_in_blocks(spark):
     assert got == brute.op9(rows)
 
 
+def test_a_group_left_apart_is_measured_a_few_times_an_item(spark):
+    """One rough group whose texts do not link but for one pair: work grows with the items, not with blocks
+    times blocks."""
+    r, n, seen = random.Random(8), 400, spark.sparkContext.accumulator(0)
+    words = [b"w%d" % k for k in range(6000)]
+    found = [b" ".join(r.sample(words, 12)) for _ in range(n - 2)] + [b"x y z u v", b"x y z u v s"]
+
+    def sets_of(part):
+        seen.add(len(part))
+        return [minhash.shingle_sets([x], 1, minhash._Words())[0] for x in part]
+
+    def measure(part):
+        return sets_of(part), lines.minima([x.ljust(8) for x in part], 96)
+
+    texts = spark.createDataFrame(list(enumerate(map(bytearray, found))), "id long, text binary")
+    keys = spark.createDataFrame([(k, bytearray((7).to_bytes(8, "little"))) for k in range(n)], "id long, keys binary")
+    got = near.near_components(spark, Work(spark, "t"), keys, n, 1, lambda placed: placed.join(texts, "id").select("id", "grp", "nb", "blk", "text"), measure, near.likely_equal(0.0), (80, 100), 4, sets_of)
+    assert {(x.id, x.comp) for x in got.collect()} == {(n - 2, n - 2), (n - 1, n - 2)}
+    assert seen.value < 10 * n
+
+
 def test_components(spark):
     r = random.Random(5)
     edges = [(r.randrange(300), r.randrange(300)) for _ in range(180)] + [(i, i + 1) for i in range(1000, 1060)] + [(7, 7)]
