@@ -1,6 +1,7 @@
 """Every query of the linkage engine against the SQL that states the same result."""
 
 import math
+import re
 
 import duckdb
 import pytest
@@ -42,6 +43,14 @@ def test_reference_caps_keep_keys_of_more_than_forty(spark):
     assert 40 < most <= 300
 
 
+@pytest.mark.parametrize("name", ["key_family_a3", "block_candidates_numbers", "block_candidates_reference"])
+def test_tokens_and_postings_are_not_broadcast(spark, sf, name):
+    """All tables of sf0.001 would fit; what joins tokens, keys and postings does not depend on how small a file looks."""
+    plan = QUERIES[name](spark, sf)._jdf.queryExecution().executedPlan().toString()
+    joins = [x for x in plan.splitlines() if "BroadcastHashJoin" in x]
+    assert "SortMergeJoin" in plan and not [x for x in joins if re.search(r"eid#|\bt#|key#", x)]
+
+
 def test_neighbours_come_from_the_whole_table(spark, sf):
     rows = QUERIES["knn_embeddings_whole"](spark, sf).collect()
     assert all(r.vec_id % 20 == 0 and r.other != r.vec_id for r in rows) and any(r.other % 3 == 0 for r in rows)
