@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from functools import reduce
-from math import comb, exp
+from math import comb, exp, sin
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -215,12 +217,62 @@ def poisson_bounds() -> list[str]:
 
 def resampled(records: DataFrame, rounds: int, seed: int) -> DataFrame:
     """(country, round, m): means of Poisson resamples, a weight per record and round drawn from an md5 of
-    both, so that it is one grouped sum however many records there are, and any engine draws the same."""
-    u = F.substring(F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("i").cast("string"), F.col("round").cast("string")).cast("binary")), 1, 8)
-    drawn = records.select("i", "country", "f", F.explode(F.sequence(F.lit(1), F.lit(rounds))).alias("round")).withColumn("u", u)
-    weight = sum(((F.col("u") >= x).cast("int") for x in poisson_bounds()), F.lit(0))
-    drawn = drawn.withColumn("w", weight).where("w > 0")
-    return drawn.groupBy("country", "round").agg((F.sum(F.col("w") * F.col("f")) / F.sum("w")).alias("m"))
+    both, so that it is one grouped sum however many records there are, and any engine draws the same.
+    Tasks make the md5 of all rounds at once, in arrays, and pass on one sum a round and country."""
+    spark, bounds = records.sparkSession, [int(x, 16) for x in poisson_bounds()]
+    turns = [7, 12, 17, 22] * 4 + [5, 9, 14, 20] * 4 + [4, 11, 16, 23] * 4 + [6, 10, 15, 21] * 4
+    added = [int(abs(sin(k + 1)) * 2**32) for k in range(64)]
+
+    def first_word(m: list):
+        """The first four bytes of the md5 of one-block messages; m: its 16 words (arrays that broadcast, or None for 0)."""
+        a, b, c, d = start = [np.uint32(x) for x in (0x67452301, 0xEFCDAB89, 0x98BADCFE, 0x10325476)]
+        for k in range(64):
+            if k < 16:
+                f, g = d ^ (b & (c ^ d)), k
+            elif k < 32:
+                f, g = c ^ (d & (b ^ c)), (5 * k + 1) % 16
+            elif k < 48:
+                f, g = b ^ c ^ d, (3 * k + 5) % 16
+            else:
+                f, g = c ^ (b | ~d), 7 * k % 16
+            f = f + (a + np.uint32(added[k]))
+            if m[g] is not None:
+                f = f + m[g]
+            a, d, c, b = d, c, b, b + (f << np.uint32(turns[k]) | f >> np.uint32(32 - turns[k]))
+        return (a + start[0]).byteswap()
+
+    def draw(batches):
+        sums: dict = {}
+        for batch in batches:
+            rows: dict = {}
+            for i, country, f in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
+                head = f"{seed}:{'' if i is None else f'{i}:'}".encode()
+                rows.setdefault((country, len(head)), []).append((head, f or 0.0))
+            for (country, n), found in rows.items():
+                weights, values = sums.setdefault(country, (np.zeros(rounds), np.zeros(rounds)))
+                for at in range(0, len(found), 32):
+                    part = found[at : at + 32]
+                    heads = np.frombuffer(b"".join(h.ljust(64, b"\0") for h, _ in part), "<u4").reshape(-1, 16)
+                    f = np.array([x for _, x in part])
+                    low = 1
+                    while low <= rounds:
+                        high = min(rounds + 1, 10 ** len(str(low)))
+                        tail = b"".join((b"\0" * n + str(k).encode() + b"\x80").ljust(56, b"\0") + (8 * (n + len(str(k)))).to_bytes(8, "little") for k in range(low, high))
+                        tails = np.frombuffer(tail, "<u4").reshape(-1, 16)
+                        words = [heads[:, k, None] | tails[None, :, k] if heads[:, k].any() or tails[:, k].any() else None for k in range(16)]
+                        with np.errstate(over="ignore"):
+                            u = first_word(words)
+                        w = sum((u >= np.uint32(x)).astype(np.uint8) for x in bounds).astype(np.float64)
+                        weights[low - 1 : high - 1] += w.sum(0)
+                        values[low - 1 : high - 1] += f @ w
+                        low = high
+        for country, (weights, values) in sums.items():
+            yield pa.RecordBatch.from_arrays([pa.array([country] * rounds, pa.string()), pa.array(np.arange(1, rounds + 1, dtype=np.int32)), pa.array(weights), pa.array(values)], ["country", "round", "w", "v"])
+
+    # Few and narrow rows, but rounds as much work each: dealt out to all tasks.
+    dealt = records.select("i", "country", F.col("f").cast("double").alias("f")).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "i")
+    drawn = dealt.mapInArrow(draw, "country string, round int, w double, v double").where("w > 0")
+    return drawn.groupBy("country", "round").agg((F.sum("v") / F.sum("w")).alias("m"))
 
 
 def bootstrap(records: DataFrame, rounds: int = 2000, seed: int = 0) -> DataFrame:

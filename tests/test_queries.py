@@ -1,5 +1,6 @@
 """Every query of the linkage engine against the SQL that states the same result."""
 
+import hashlib
 import math
 import re
 
@@ -7,6 +8,7 @@ import duckdb
 import pytest
 from conftest import DATA
 
+from linkwright.operators import evaluate
 from linkwright.plans import catalogue
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings".split()
@@ -56,6 +58,20 @@ def test_neighbours_come_from_the_whole_table(spark, sf):
     assert all(r.vec_id % 20 == 0 and r.other != r.vec_id for r in rows) and any(r.other % 3 == 0 for r in rows)
 
 
+def test_resamples_are_the_md5_draws(spark):
+    """No row a record and round, and the draws of md5 itself."""
+    rows = [(k**9, "ab"[k % 2], k / 7) for k in range(40)]
+    made = evaluate.resampled(spark.createDataFrame(rows, "i long, country string, f double"), 120, 3)
+    assert "Generate" not in made._jdf.queryExecution().executedPlan().toString()
+    want = {}
+    for i, country, f in rows:
+        for k in range(1, 121):
+            w = sum(hashlib.md5(f"3:{i}:{k}".encode()).hexdigest()[:8] >= x for x in evaluate.poisson_bounds())
+            n, v = want.get((country, k), (0, 0.0))
+            want[country, k] = n + w, v + w * f
+    assert {(r.country, r.round): r.m for r in made.collect()} == pytest.approx({k: v / n for k, (n, v) in want.items() if n})
+
+
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - set(SQL)))
 def test_runs(spark, sf, name):
     assert QUERIES[name](spark, sf).count() > 0
