@@ -2,13 +2,15 @@
 
 import hashlib
 import math
+import random
 import re
 
 import duckdb
 import pytest
 from conftest import DATA
+from pyspark.sql import functions as F
 
-from linkwright.operators import evaluate
+from linkwright.operators import blocking, evaluate
 from linkwright.plans import catalogue
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings".split()
@@ -58,6 +60,15 @@ def test_neighbours_come_from_the_whole_table(spark, sf):
     assert all(r.vec_id % 20 == 0 and r.other != r.vec_id for r in rows) and any(r.other % 3 == 0 for r in rows)
 
 
+def test_halves_are_rounded_as_in_sql(spark, duck):
+    """Sums that end in a half of the last digit: as SQL rounds doubles, which Spark's own round does not."""
+    r = random.Random(4)
+    x = [(k + 0.5) / 10**6 for k in r.sample(range(30_000_000), 2000)]
+    rows = spark.createDataFrame([(v,) for v in x], "x double").select("x", blocking.rounded(F.col("x"), 6), F.round("x", 6)).collect()
+    want = dict(duck.execute("SELECT x, round(x, 6) FROM (SELECT unnest(?::DOUBLE[]) AS x)", [x]).fetchall())
+    assert all(a == want[v] for v, a, _ in rows) and any(b != want[v] for v, _, b in rows)
+
+
 def test_resamples_are_the_md5_draws(spark):
     """No row a record and round, and the draws of md5 itself."""
     rows = [(k**9, "ab"[k % 2], k / 7) for k in range(40)]
