@@ -72,4 +72,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     work, docs = Work(spark, "pipeline"), table(spark, sf_dir, "documents")
     for k, (_, stage) in enumerate(STAGES):
         docs = work.save(stage(spark, docs, sf_dir), f"stage-{k}")
+        work.clear(f"stage-{k}")
     return docs

@@ -299,3 +299,12 @@ def test_sketches_estimate_and_merge():
     assert (np.maximum(ra, rb) == both).all()
     _, best = likely_jaccard(s.base, 0.75, s.lost)(np.stack([ra, rb]), np.array([len(a), len(b)]), np.array([0]), np.array([1]))
     assert abs(best[0] - len(np.intersect1d(a, b)) / len(np.union1d(a, b))) < 0.15
+
+
+def test_only_what_is_still_read_stays_on_disk(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(Work, "_root", staticmethod(lambda spark: f"file://{tmp_path}"))
+    d = frame(spark, ROWS)
+    kept = lines.line_dedup(spark, d), minhash.minhash_dedup(spark, d)
+    assert sorted(p.name for p in tmp_path.glob("lines-*/*")) == ["gone"]
+    assert sorted(p.name for p in tmp_path.glob("minhash-*/*")) == ["named", "profile"]
+    assert [x.count() for x in kept] == [len(ROWS)] * 2
