@@ -10,7 +10,7 @@ import pytest
 from conftest import DATA
 from pyspark.sql import functions as F
 
-from linkwright.operators import blocking, evaluate
+from linkwright.operators import blocking, evaluate, features
 from linkwright.plans import catalogue
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings".split()
@@ -83,6 +83,33 @@ def test_resamples_are_the_md5_draws(spark):
     assert {(r.country, r.round): r.m for r in made.collect()} == pytest.approx({k: v / n for k, (n, v) in want.items() if n})
 
 
+def test_pair_features_take_pairs_through_few_exchanges(spark, sf):
+    """Pairs are not exploded by token, their records not normalized and blocked anew for each kind of feature."""
+    plan = QUERIES["pair_features_all"](spark, sf)._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan and len(re.findall(r"\bExchange hashpartitioning", plan)) <= 6
+
+
+def test_rarities_of_pairs_across_countries(spark):
+    """The other side's tokens have the idf of the asking record's country, or the largest of all where it has none."""
+    r = random.Random(8)
+    texts = [" ".join(r.choice("abcdefgh") for _ in range(r.randrange(6))) for _ in range(60)]
+    rows = [(k, 1 + k % 3, "xy"[k % 2], 0, "", texts[k], "", 0, texts[-k], "") for k in range(30)]
+    records = spark.createDataFrame(rows, "eid long, src int, country string, script int, name_n string, name_core string, name_alias string, name_web int, addr_n string, addr_nums string")
+    pairs = spark.createDataFrame([(a, b) for a in range(0, 30, 3) for b in range(30) if b % 3], "i long, j long")
+    idf = {(x.kind, x.country, x.t): x.idf for x in features.token_idf(records).collect()}
+    found = features.idf_features(features.pair_records(pairs, features.sides(pairs, records))).collect()
+    assert len(found) == 200
+    for x in found:
+        for kind, a, b in (("name", x.name_core, x.name_core_b), ("addr", x.addr_n, x.addr_n_b)):
+            top = max(v for (k, _, _), v in idf.items() if k == kind)
+            a, b = set(a.split()), set(b.split())
+            v = {t: idf.get((kind, x.country, t), top) for t in a | b}
+            wa, wb, wc = (sum(v[t] for t in s) for s in (a, b, a & b))
+            want = [max([0, *(v[t] for t in s)]) for s in (a - b, b - a)] + [wc / (m + 1e-6) for m in (min(wa, wb), max(wa, wb), wa + wb - wc)] + [wc]
+            got = [x[f"{kind}_{n}"] for n in ("unm_a", "unm_b", "wov_min", "wov_max", "wjac", "wcommon")]
+            assert got == pytest.approx(want, abs=2e-6)
+
+
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - set(SQL)))
 def test_runs(spark, sf, name):
     assert QUERIES[name](spark, sf).count() > 0
