@@ -69,6 +69,21 @@ def test_halves_are_rounded_as_in_sql(spark, duck):
     assert all(a == want[v] for v, a, _ in rows) and any(b != want[v] for v, _, b in rows)
 
 
+def test_shared_weights_are_summed_as_in_sql(spark, duck, monkeypatch):
+    """Two weights whose sum ends in a half of the seventh digit: as doubles add, which the exact sum is not."""
+    r = random.Random(5)
+    rows = []
+    for k in range(2000):
+        a = r.randrange(10**9, 12 * 10**9)
+        rows += [(k, a / 10**9), (k, (r.randrange(10**6, 12 * 10**6) * 1000 + (500 - a) % 1000) / 10**9)]
+    keys = spark.createDataFrame([(k, 1, "x", "A1", f"A1|{n}") for n, (k, _) in enumerate(rows)], "eid long, src int, country string, fam string, key string")
+    posts = spark.createDataFrame([("x", "A1", f"A1|{n}", 10**6, w) for n, (_, w) in enumerate(rows)], "country string, fam string, key string, j long, w double")
+    monkeypatch.setattr(blocking, "postings", lambda *_: posts)
+    got = {x.i: x.w for x in blocking.family_hits(keys, keys).collect()}
+    want = duck.execute("SELECT i, round(sum(w), 6) FROM (SELECT unnest(?::BIGINT[]) AS i, unnest(?::DOUBLE[]) AS w) GROUP BY i", [*map(list, zip(*rows, strict=True))]).fetchall()
+    assert got == dict(want)
+
+
 def test_resamples_are_the_md5_draws(spark):
     """No row a record and round, and the draws of md5 itself."""
     rows = [(k**9, "ab"[k % 2], k / 7) for k in range(40)]
