@@ -84,6 +84,20 @@ def test_shared_weights_are_summed_as_in_sql(spark, duck, monkeypatch):
     assert got == dict(want)
 
 
+def test_ratios_of_candidates_are_rounded_as_in_sql(spark, duck):
+    """Ratios of six-digit scores that end in a half of the seventh digit, within i and within j."""
+    r = random.Random(6)
+    rows = []
+    for k in range(400):
+        most = 2 * 10**6 * r.randrange(2, 12)
+        part = most // (2 * 10**6) * (2 * r.randrange(10**6) + 1)
+        rows += [(k, k, most / 10**6), (k, 10**6 + k, part / 10**6), (10**6 + k, k, part / 10**6)]
+    pairs = spark.createDataFrame(rows, "i long, j long, s_all double").withColumn("n", F.col("s_all"))
+    got = {(x.i, x.j): (x.cand_ratio, x.s1_ratio) for x in features.context_features(pairs, "n").collect()}
+    want = duck.execute("SELECT i, j, round(s / max(s) OVER (PARTITION BY j), 6), round(s / max(s) OVER (PARTITION BY i), 6) FROM (SELECT unnest(?::BIGINT[]) AS i, unnest(?::BIGINT[]) AS j, unnest(?::DOUBLE[]) AS s)", [*map(list, zip(*rows, strict=True))]).fetchall()
+    assert got == {(i, j): (a, b) for i, j, a, b in want}
+
+
 def test_resamples_are_the_md5_draws(spark):
     """No row a record and round, and the draws of md5 itself."""
     rows = [(k**9, "ab"[k % 2], k / 7) for k in range(40)]
