@@ -197,6 +197,22 @@ def test_a_group_left_apart_is_measured_a_few_times_an_item(spark):
     assert seen.value < 10 * n
 
 
+def test_pairs_far_from_the_threshold_are_not_read_again(spark):
+    """Sets with a rare element in common, but half of the rest: their texts are not fetched; near ones all are."""
+    r, found = random.Random(9), []
+    for k in range(30):
+        group = [[f"g{k}", *(f"{k}.{x}" for x in r.sample(range(200), 100))] for _ in range(9)]
+        found += [*group, group[0][:-1]]
+    rows = [(n, 1, bytearray(" ".join(x).encode()), n, True) for n, x in enumerate(found)]
+
+    def sets_of(part):
+        return [minhash.shingle_sets([x], 1, minhash._Words())[0] for x in part]
+
+    items = spark.createDataFrame(rows, "id long, grp long, text binary, label long, asks boolean")
+    got = {tuple(sorted((x.a, x.b))) for x in near.prefix_pairs(spark, items, sets_of, (80, 100)).collect()}
+    assert {(k, k + 9) for k in range(0, 300, 10)} <= got and len(got) < 60
+
+
 def test_components(spark):
     r = random.Random(5)
     edges = [(r.randrange(300), r.randrange(300)) for _ in range(180)] + [(i, i + 1) for i in range(1000, 1060)] + [(7, 7)]
